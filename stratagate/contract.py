@@ -131,6 +131,8 @@ class Contract:
     dialect: Dialect = Dialect()
     file_pattern: str = "*"
     part_count: int | None = None
+    # a part delivered as a folder of files rather than as one file
+    split_parts: bool = False
     declared_total: tuple[str, str] | None = None
     version: int = 1
     state: str = v.DRAFT

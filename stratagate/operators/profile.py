@@ -18,7 +18,12 @@ from stratagate.session import settle
 from stratagate.sources.delimited import PART, source_part
 
 
-def byte_lines(spark: SparkSession, paths: str | Sequence[str], folder: str) -> DataFrame:
+def byte_lines(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    folder: str,
+    split: bool = False,
+) -> DataFrame:
     """Lines cut at LF only, with the size of the file they come from.
 
     The reader keeps the bytes as they are, so lengths and validity are exact.
@@ -29,7 +34,8 @@ def byte_lines(spark: SparkSession, paths: str | Sequence[str], folder: str) ->
         .text(paths)
     )
     return lines.select(
-        source_part(folder).alias(PART),
+        source_part(folder, split).alias(PART),
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_size").alias("file_size"),
         "value",
     )
@@ -41,21 +47,26 @@ def terminators(lines: DataFrame) -> DataFrame:
     Line bytes plus one LF each exceed the file size by one when the last line
     has no LF, and fall short by three when the reader dropped a UTF-8 BOM.
     """
-    counted = lines.groupBy(PART).agg(
-        F.count_if(F.col("value").endswith("\r")).alias("crlf"),
-        F.count_if(~F.col("value").endswith("\r")).alias("plain"),
+    ends_cr = F.col("value").endswith("\r")
+    files = lines.groupBy(PART, "file").agg(
+        F.count_if(ends_cr).alias("crlf"),
+        F.count_if(~ends_cr).alias("plain"),
         (F.max("file_size") - F.sum(F.octet_length("value") + 1)).alias("rest"),
     )
     lf = F.col("plain") - F.col("rest").isin(-1, 2).cast("int")
+    counted = files.groupBy(PART).agg(
+        F.sum("crlf").alias("crlf"),
+        F.sum(lf).alias("lf"),
+        F.bool_or(F.col("rest").isin(2, 3)).alias("bom"),
+    )
+    crlf, lf = F.col("crlf") > 0, F.col("lf") > 0
     kind = (
-        F.when((F.col("crlf") > 0) & (lf > 0), "mixed")
-        .when(F.col("crlf") > 0, "CRLF")
-        .when(lf > 0, "LF")
+        F.when(crlf & lf, "mixed")
+        .when(crlf, "CRLF")
+        .when(lf, "LF")
         .otherwise("undefined")
     )
-    return counted.select(
-        PART, kind.alias("terminator"), F.col("rest").isin(2, 3).alias("bom")
-    )
+    return counted.select(PART, kind.alias("terminator"), "bom")
 
 
 def occurrences(text: Column, mark: str) -> Column:

@@ -16,9 +16,12 @@ LINE = "_malformed_line"
 PART = "_part"
 
 
-def source_part(folder: str) -> Column:
-    """File path below the delivery folder, with percent-encoding undone."""
-    below = "/" + re.escape(folder.strip("/")) + "/(.+)$"
+def source_part(folder: str, split: bool = False) -> Column:
+    """File path below the delivery folder, with percent-encoding undone.
+
+    With ``split`` a part is a folder of files, and its name is the first level.
+    """
+    below = "/" + re.escape(folder.strip("/")) + ("/([^/]+)/" if split else "/(.+)$")
     # '+' stands for itself in a path; only %XX sequences are encoded
     path = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
     return F.regexp_extract(path, below, 1)
@@ -65,17 +68,20 @@ def scan_rows(
     return rows.select(
         *columns[:-1],
         F.when(first.isNull() | first.isNotNull(), F.col(LINE)).alias(LINE),
-        source_part(folder).alias(PART),
+        source_part(folder, contract.split_parts).alias(PART),
     )
 
 
 def scan_lines(
-    spark: SparkSession, paths: str | Sequence[str], folder: str
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    folder: str,
+    split: bool = False,
 ) -> DataFrame:
     """Physical lines, read without the CSV parser; blank ones are left out."""
     lines = spark.read.option("recursiveFileLookup", "true").text(paths)
     return lines.where(F.length(F.trim("value")) > 0).select(
-        source_part(folder).alias(PART), "value"
+        source_part(folder, split).alias(PART), "value"
     )
 
 
