@@ -305,21 +305,26 @@ def provenance(requested: DataFrame, runs: DataFrame) -> DataFrame:
         .where(F.col("tipo") == v.BRONZE)
         .select(
             "identificador",
+            F.col("id_execucao").alias("bronze_run"),
             F.col("competencia").alias("bronze_period"),
             F.col("hash_leitura").alias("bronze_hash"),
         )
     )
     both = requested.join(bronze, "identificador", "left")
-    none = F.col("bronze_period").isNull()
+    none = F.col("bronze_run").isNull()
+
+    def differs(theirs: str, mine: str) -> Column:
+        return ~none & ~F.col(theirs).eqNullSafe(F.col(mine))
+
     found = F.array_compact(
         F.array(
             F.when(none, F.lit("no effective Bronze")),
             F.when(
-                ~none & (F.col("bronze_period") != F.col("competencia")),
-                _text("Bronze is of %s", "bronze_period"),
+                differs("bronze_period", "competencia"),
+                _text("Bronze is of %s", F.coalesce("bronze_period", F.lit("no period"))),
             ),
             F.when(
-                ~none & (F.col("bronze_hash") != F.col("hash_leitura")),
+                differs("bronze_hash", "hash_leitura"),
                 F.lit("Bronze was read under another hash"),
             ),
         )

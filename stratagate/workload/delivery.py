@@ -214,7 +214,7 @@ def totals_rows(spark, sf_dir) -> DataFrame:
     """The source's own totals file, one row off what it delivers."""
     total = from_sql(spark, sf_dir, DELIVERY).agg(
         F.concat_ws(
-            ",", F.count(F.lit(1)) + 1, F.approx_count_distinct("source_part")
+            ",", F.count(F.lit(1)) + 1, F.count_distinct("source_part")
         ).alias("value")
     )
     folder = write_once(
