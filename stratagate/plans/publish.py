@@ -11,6 +11,7 @@ from stratagate.operators.quarantine import Publication
 from stratagate.operators.runlog import latest_effective
 from stratagate.operators.schema import schema_change, schema_diff, schema_rows
 from stratagate.plans.runs import Run, history
+from stratagate.session import written
 from stratagate.sinks.store import Store
 
 LINEAGE_COMMENTS = {
@@ -92,7 +93,11 @@ def require_schema(
 
 
 def append_quarantine(store: Store, rows: DataFrame, publication: Publication) -> int:
-    """Append the rows not stored yet, then count by reading back those that are."""
+    """Append the rows not stored yet, then count by reading back those that are.
+
+    The rows are evaluated once; both joins then read their ids from a table.
+    """
+    rows = written(rows, "withdrawn")
 
     def stored() -> DataFrame:
         return quarantine.of_publication(store.spark.table(store.quarantine), publication)
@@ -119,7 +124,7 @@ def publish(
     if expected_withdrawn:
         layout = quarantine.quarantine_layout(withdrawn, publication)
         kept = append_quarantine(store, layout, publication)
-    published = store.count_version(folder)
+    published = store.count_version(folder, schema)
     run.values |= {
         "tabela_destino": table,
         "linhas_publicadas": published,

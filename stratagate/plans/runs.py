@@ -16,6 +16,7 @@ from stratagate import vocabulary as v
 from stratagate.contract import Contract
 from stratagate.operators import runlog
 from stratagate.operators.checks import PublicationBlocked
+from stratagate.session import settle
 from stratagate.sinks.store import Store
 
 
@@ -49,9 +50,13 @@ def log(store: Store, run: Run) -> None:
 
 
 def history(store: Store, identifier: str) -> DataFrame:
-    """Present state of one identifier's runs; prunes to its partition."""
+    """Present state of one identifier's runs; prunes to its partition.
+
+    One row per attempt of one table, read by several checks: computed once.
+    """
     rows = store.spark.table(store.run_log)
-    return runlog.current(rows.where(F.col("identificador") == identifier))
+    mine = rows.where(F.col("identificador") == identifier)
+    return settle(runlog.current(mine.coalesce(1)))
 
 
 @contextmanager

@@ -52,3 +52,10 @@ def settle(df: DataFrame) -> DataFrame:
     """Compute once, keep in the shared folder, cut the lineage."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Compute once into a columnar table of the shared folder and read that."""
+    folder = new_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -88,9 +88,10 @@ class Store:
             f"LOCATION '{sql_text(folder)}'"
         )
 
-    def count_version(self, folder: str) -> int:
+    def count_version(self, folder: str, schema: list[tuple[str, str]]) -> int:
         """Rows in a written folder; answered from the file footers."""
-        return self.spark.read.parquet(folder).count()
+        ddl = ", ".join(f"`{name}` {kind}" for name, kind in schema)
+        return self.spark.read.schema(ddl).parquet(folder).count()
 
     # --------------------------------------------------------- comments
 
@@ -99,13 +100,12 @@ class Store:
     ) -> list[str]:
         """Write the comments that differ; return the names written."""
         written = []
-        if (self.spark.catalog.getTable(table).description or "") != text:
+        about = self.spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+        if text not in [r.data_type for r in about if r.col_name == "Comment"]:
             self.spark.sql(f"COMMENT ON TABLE {table} IS '{sql_text(text)}'")
             written.append(table)
-        current = {
-            c.name: c.description or ""
-            for c in self.spark.catalog.listColumns(table)
-        }
+        fields = self.spark.table(table).schema.fields
+        current = {f.name: f.metadata.get("comment", "") for f in fields}
         for name, wanted in columns.items():
             if name in current and current[name] != wanted:
                 self.spark.sql(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Orders as delivered text, with planted defects.
@@ -36,6 +38,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def from_sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Run a view's SQL over the parquet tables it names."""
     for name in TABLES:
-        if name in text:
+        if re.search(rf"\b(?:FROM|JOIN)\s+{name}\b", text):
             table(spark, sf_dir, name).createOrReplaceTempView(name)
     return spark.sql(text)
