@@ -68,10 +68,11 @@ def publish_bronze(
         checks.require(
             checks.part_count(manifest, contract.part_count, contract.identifier)
         )
-        # paths of the contracted files, as the reader wants them
-        paths = [r.path for r in manifest.select("path").collect()]
+        # names and paths of the contracted parts, as the reader wants them
+        selected = manifest.select("part", "path").collect()
+        paths = [r.path for r in selected]
         if contract.dialect.header:
-            first = delimited.first_lines(spark, paths, folder)
+            first = delimited.header_lines(spark, selected)
             checks.require(checks.header(first, contract))
         version = store.folder(table, run.id)
         rows = delimited.scan_rows(spark, contract, paths, folder)

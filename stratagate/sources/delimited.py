@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,6 +104,25 @@ def first_lines(
     )
 
 
+def header_lines(
+    spark: SparkSession, parts: Sequence[tuple[str, str]]
+) -> DataFrame:
+    """First line of a few (part, path) files, reading one split's head of each.
+
+    For the handful of parts a contract names; :func:`first_lines` does any
+    number of files in one job, but has to read them through.
+    """
+
+    def head(part: tuple[str, str]) -> tuple[str, str]:
+        lines = spark.read.text(part[1]).where(F.length(F.trim("value")) > 0)
+        row = lines.where(F.col("_metadata.file_block_start") == 0).head()
+        return part[0], row.value if row else ""
+
+    with ThreadPoolExecutor(8) as pool:
+        found = list(pool.map(head, parts))
+    return spark.createDataFrame(found, f"{PART} string, value string")
+
+
 def well_formed(rows: DataFrame) -> DataFrame:
     return rows.where(F.col(LINE).isNull())
 
