@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from stratagate.llm.packing import pack_documents
+from stratagate.llm.simhash import near_duplicates
 from stratagate.llm.tables import table
 from stratagate.llm.token_files import token_documents
 
@@ -30,3 +31,8 @@ def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_documents(table(spark, sf_dir, "documents"), path, end_id=2)
+
+
+@query
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
