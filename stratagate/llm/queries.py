@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from stratagate.llm.packing import pack_documents
+from stratagate.llm.quality import judge
 from stratagate.llm.simhash import near_duplicates
 from stratagate.llm.tables import table
 from stratagate.llm.token_files import token_documents
@@ -21,6 +22,11 @@ def query(function):
     return function
 
 
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
