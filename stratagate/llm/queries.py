@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from stratagate.llm.langid import languages
 from stratagate.llm.packing import pack_documents
 from stratagate.llm.quality import judge
 from stratagate.llm.simhash import near_duplicates
@@ -22,6 +23,11 @@ def query(function):
     return function
 
 
+@query
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
