@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from stratagate.llm.archive import archive_pages
 from stratagate.llm.langid import languages
 from stratagate.llm.packing import pack_documents
 from stratagate.llm.quality import judge
@@ -33,6 +34,23 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op4_archive"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+     d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest,
+                  max(page_id) OVER (PARTITION BY payload) AS answer
+           FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> answer THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> answer THEN answer END AS refers_to
+FROM d
+"""
+
+
+@query
+def op4_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(table(spark, sf_dir, "pages")).drop("record_bytes")
+
+
 @query
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
