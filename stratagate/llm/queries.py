@@ -11,6 +11,7 @@ from stratagate.llm.archive import archive_pages
 from stratagate.llm.langid import languages
 from stratagate.llm.packing import pack_documents
 from stratagate.llm.quality import judge
+from stratagate.llm.rendering import rendered
 from stratagate.llm.simhash import near_duplicates
 from stratagate.llm.tables import table
 from stratagate.llm.token_files import token_documents
@@ -57,6 +58,11 @@ def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), path, end_id=0, capacity=2048)
 
 
+@query
+def op6_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rendered(table(spark, sf_dir, "pages"))
+
+
 @query
 def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
