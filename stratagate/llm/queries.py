@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stratagate.llm.archive import archive_pages
 from stratagate.llm.langid import languages
 from stratagate.llm.packing import pack_documents
+from stratagate.llm.pii import personal_data
 from stratagate.llm.quality import judge
 from stratagate.llm.rendering import rendered
 from stratagate.llm.simhash import near_duplicates
@@ -72,3 +73,8 @@ def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
+
+
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
