@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from stratagate.llm.archive import archive_pages
+from stratagate.llm.decontaminate import contamination
 from stratagate.llm.langid import languages
 from stratagate.llm.packing import pack_documents
 from stratagate.llm.pii import personal_data
@@ -78,3 +79,8 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
