@@ -14,6 +14,7 @@ from stratagate.llm.packing import pack_documents
 from stratagate.llm.pii import personal_data
 from stratagate.llm.quality import judge
 from stratagate.llm.rendering import rendered
+from stratagate.llm.repeats import remove_repeats
 from stratagate.llm.simhash import near_duplicates
 from stratagate.llm.tables import table
 from stratagate.llm.token_files import token_documents
@@ -37,6 +38,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 ORACLES["op4_archive"] = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
      d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest,
