@@ -194,3 +194,19 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 def languages(docs: DataFrame) -> DataFrame:
     """Fit on ``docs`` and identify every row of it."""
     return identify(docs, fit(docs))
+
+
+def accepted(docs: DataFrame, least_score: float = 0.3) -> DataFrame:
+    """``docs`` without texts of no language: no letter, or a score near chance."""
+    model = fit(docs)
+    at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in slices(batches, _BATCH):
+            sets = [grams(t) for t in rows.column(at).to_pylist()]
+            names, scores = model.predict(sets)
+            fine = [n != UNKNOWN and x >= least_score for n, x in zip(names, scores, strict=True)]
+            yield rows.filter(pa.array(fine, pa.bool_()))
+
+    # without labels nothing is known about any language, and nothing is rejected
+    return docs if model is None else docs.mapInArrow(keep, docs.schema)

@@ -31,11 +31,12 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratagate.llm.components import components
-from stratagate.llm.tables import slices, task_count, text_bytes
+from stratagate.llm.tables import let, slices, task_count, text_bytes
+from stratagate.operators.sizing import broadcast_if_small
 from stratagate.session import settle, written
 
 SEED = 42
@@ -63,7 +64,7 @@ def _more_bits(hashes: np.ndarray, word: int) -> np.ndarray:
     """The word-th 64 bits derived from each hash; word 0 is the hash itself."""
     if word == 0:
         return hashes
-    x = hashes + np.uint64(word) * np.uint64(0x9E3779B97F4A7C15)
+    x = hashes + np.uint64(word * 0x9E3779B97F4A7C15 % 2**64)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
@@ -272,8 +273,11 @@ def _group_links(keys: np.ndarray, fps: np.ndarray, radius: int) -> list[tuple[i
     return links
 
 
-def verified_links(rows: DataFrame, words: int, radius: int) -> DataFrame:
-    """(u, v): forest links between different fingerprints that share a key."""
+def verified_links(rows: DataFrame, words: int, radii: Sequence[int]) -> DataFrame:
+    """(u, v, within): forest links between different fingerprints that share a key.
+
+    For each radius, a forest of the links within it.
+    """
     spark = rows.sparkSession
     hot = settle(rows.groupBy("key").count().where(F.col("count") > BLOCK))
     if hot.isEmpty():
@@ -299,35 +303,41 @@ def verified_links(rows: DataFrame, words: int, radius: int) -> DataFrame:
             differs = np.flatnonzero((keys != keys[-1]).any(axis=1))
             cut = int(differs[-1]) + 1 if len(differs) else 0
             if cut:
-                yield out(_group_links(keys[:cut], fps[:cut], radius), fps)
+                yield from out(keys[:cut], fps[:cut])
                 keys, fps = keys[cut:], fps[cut:]
         if len(keys):
-            yield out(_group_links(keys, fps, radius), fps)
+            yield from out(keys, fps)
 
-    def out(links: list[tuple[int, int]], fps: np.ndarray) -> pa.RecordBatch:
-        pairs = np.array(links, dtype=np.int64).reshape(-1, 2)
-        ends = [[fps[i].tobytes() for i in pairs[:, k]] for k in (0, 1)]
-        return pa.RecordBatch.from_arrays([pa.array(e, pa.binary()) for e in ends], ["u", "v"])
+    def out(keys: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for radius in radii:
+            pairs = np.array(_group_links(keys, fps, radius), dtype=np.int64).reshape(-1, 2)
+            ends = [pa.array([fps[i].tobytes() for i in pairs[:, k]], pa.binary()) for k in (0, 1)]
+            within = pa.array(np.full(len(pairs), radius, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([*ends, within], ["u", "v", "within"])
 
     return (
         grouped.repartition(task_count(spark), "key", "a", "b")
         .sortWithinPartitions("key", "a", "b")
-        .mapInArrow(link, "u binary, v binary")
+        .mapInArrow(link, "u binary, v binary, within int")
     )
 
 
 def link_fingerprints(
-    distinct: DataFrame, radius: int, choices: Sequence[int], words: int = 1, near: int | None = None
+    distinct: DataFrame,
+    radius: int,
+    choices: Sequence[int],
+    words: int = 1,
+    radii: Sequence[int] | None = None,
 ) -> DataFrame:
-    """(u, v): links that connect all fingerprints within ``radius`` bits.
+    """(u, v, within): links that connect all fingerprints within ``radius`` bits.
 
-    ``near`` widens what is accepted beyond the radius up to which finding every
-    link is guaranteed.
+    ``radii`` asks for forests beyond the radius up to which finding every link is
+    guaranteed.
     """
     rows, together = bit_statistics(distinct, words)
     plan = plan_parts(rows, together, radius, choices)
-    limit = radius if near is None else near
-    return verified_links(probes(distinct, plan, words), words, limit).distinct()
+    found = verified_links(probes(distinct, plan, words), words, radii or (radius,))
+    return found.groupBy("u", "v").agg(F.min("within").alias("within"))
 
 
 def near_duplicates(
@@ -345,3 +355,100 @@ def near_duplicates(
     return marked.join(labels, "fp").select(
         "doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id"
     )
+
+
+#: For whole-document similarity: words of 64 bits, radius of certain recall, parts.
+WIDE_WORDS, WIDE_RADIUS, WIDE_PARTS = 8, 31, 32
+#: Bits within which texts are surely similar, and beyond which surely not.
+SURE, DOUBTFUL = 40, 88
+SIMILARITY, SIMILAR_SHINGLE = 0.8, 5
+
+
+def _gram_set(text: Column, size: int) -> Column:
+    """Distinct hashes of the word shingles of a text."""
+    words = F.filter(F.split(F.lower(text), "[ \\t-\\r]+", -1), lambda w: w != "")
+
+    def of(ws: Column) -> Column:
+        few = F.array(F.xxhash64(F.array_join(ws, " ")))
+        runs = F.transform(ws, lambda w, i: F.xxhash64(w, *[F.get(ws, i + k) for k in range(1, size)]))
+        many = F.array_distinct(F.slice(runs, 1, F.greatest(F.size(ws) - (size - 1), F.lit(1))))
+        return F.when(F.size(ws) < size, few).otherwise(many)
+
+    return let(words, of)
+
+
+def similar_links(docs: DataFrame, marked: DataFrame, distinct: DataFrame) -> DataFrame:
+    """(u, v): links between fingerprints of texts that are similar enough.
+
+    A wide fingerprint finds candidates: similar texts agree on some part of it.
+    Links in the doubtful range are decided by the Jaccard similarity of the texts'
+    five-word shingles.
+    """
+    links = link_fingerprints(
+        distinct, WIDE_RADIUS, (WIDE_PARTS,), WIDE_WORDS, radii=(SURE, DOUBTFUL)
+    )
+    links = settle(links)
+    doubtful = links.where(F.col("within") > SURE).select("u", "v")
+    ends = doubtful.select(F.col("u").alias("fp")).union(doubtful.select("v")).distinct()
+    # one row stands for each fingerprint
+    named = marked.join(ends, "fp", "left_semi").groupBy("fp").agg(F.min("_row").alias("_row"))
+    named = broadcast_if_small(settle(named))
+    texts = docs.select(row_key(), F.coalesce("text", F.lit("")).alias("_text")).join(named, "_row")
+    sets = written(
+        texts.dropDuplicates(["fp"]).select("fp", _gram_set(F.col("_text"), SIMILAR_SHINGLE).alias("set")),
+        "shingle-sets",
+    )
+    one = sets.select(F.col("fp").alias("u"), F.col("set").alias("_a"))
+    other = sets.select(F.col("fp").alias("v"), F.col("set").alias("_b"))
+    shared = F.size(F.array_intersect("_a", "_b"))
+    decided = (
+        doubtful.join(one, "u")
+        .join(other, "v")
+        .where(shared >= SIMILARITY * (F.size("_a") + F.size("_b") - shared))
+    )
+    return links.where(F.col("within") <= SURE).select("u", "v").unionByName(decided.select("u", "v"))
+
+
+def row_key() -> Column:
+    """Names a row by its document and text."""
+    return F.xxhash64(F.col("doc_id"), F.col("text")).alias("_row")
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates, that of the least doc_id.
+
+    Groups are chained: texts are linked at a Jaccard similarity of 0.8 or more of
+    their five-word shingles. Equal rows count as one. Columns are kept.
+    """
+    keyed = docs.select("doc_id", "text", row_key())
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in slices(batches):
+            found = [
+                fingerprint(shingle_hashes(t, 3), WIDE_WORDS) for t in text_bytes(rows.column(1))
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(0), rows.column(2), pa.array(found, pa.binary())], ["doc_id", "_row", "fp"]
+            )
+
+    marked = written(keyed.mapInArrow(of, "doc_id long, _row long, fp binary"), "fingerprints")
+    distinct = settle(marked.select("fp").distinct())
+    roots = components(similar_links(docs, marked, distinct))
+    grouped = marked.join(roots, marked["fp"] == roots["node"], "left").select(
+        "doc_id", "_row", F.coalesce("root", "fp").alias("root")
+    )
+    grouped = written(grouped, "groups")
+    order = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "_row")
+    winners = grouped.groupBy("root").agg(F.min(order).alias("_best"))
+    winners = winners.select(F.col("_best._row").alias("_row"))
+    losers = broadcast_if_small(
+        settle(grouped.select("_row").distinct().join(winners, "_row", "left_anti"))
+    )
+    repeated = broadcast_if_small(
+        settle(grouped.groupBy("_row").count().where(F.col("count") > 1).select("_row"))
+    )
+    own = docs.withColumn("_row", row_key())
+    left = own.join(losers, "_row", "left_anti")
+    once = left.join(repeated, "_row", "left_anti")
+    again = left.join(repeated, "_row", "left_semi").dropDuplicates(["_row"])
+    return once.unionByName(again).drop("_row").select(*docs.columns)
