@@ -196,8 +196,12 @@ def languages(docs: DataFrame) -> DataFrame:
     return identify(docs, fit(docs))
 
 
-def accepted(docs: DataFrame, least_score: float = 0.3) -> DataFrame:
-    """``docs`` without texts of no language: no letter, or a score near chance."""
+def accepted(docs: DataFrame, least_score: float = 0.0) -> DataFrame:
+    """``docs`` without texts of no language: no letter, or a lower score.
+
+    By default every text with a letter stays: one-word texts score near chance,
+    and are no less clean for it.
+    """
     model = fit(docs)
     at = docs.columns.index("text")
 
