@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratagate.llm.tables import let
+from stratagate.llm.tables import boxed, let, unboxed
 from stratagate.operators.sizing import broadcast_if_small
 from stratagate.session import settle
 
@@ -205,4 +205,5 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SI
     """``docs`` without the rows that hold a benchmark item."""
     found = similarities(docs.select("doc_id", "text"), benchmark, similarity)
     keys = broadcast_if_small(settle(found.select("_key").distinct()))
-    return docs.join(keys, _row_key() == keys["_key"], "left_anti")
+    rows = boxed(docs, _row_key().alias("_key"))
+    return unboxed(rows.join(keys, "_key", "left_anti"), docs.columns)

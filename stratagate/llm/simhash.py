@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratagate.llm.components import components
-from stratagate.llm.tables import let, slices, task_count, text_bytes
+from stratagate.llm.tables import boxed, let, slices, task_count, text_bytes, unboxed
 from stratagate.operators.sizing import broadcast_if_small
 from stratagate.session import settle, written
 
@@ -447,8 +447,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     repeated = broadcast_if_small(
         settle(grouped.groupBy("_row").count().where(F.col("count") > 1).select("_row"))
     )
-    own = docs.withColumn("_row", row_key())
+    own = boxed(docs, row_key())
     left = own.join(losers, "_row", "left_anti")
     once = left.join(repeated, "_row", "left_anti")
     again = left.join(repeated, "_row", "left_semi").dropDuplicates(["_row"])
-    return once.unionByName(again).drop("_row").select(*docs.columns)
+    return unboxed(once.unionByName(again), docs.columns)

@@ -20,6 +20,18 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def boxed(docs: DataFrame, *more: Column) -> DataFrame:
+    """The rows as one column ``_whole``, and more; no name of theirs can clash."""
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_whole"), *more)
+
+
+def unboxed(rows: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The columns of boxed rows, some of them changed."""
+    return rows.select(
+        *[changed.get(c, F.col("_whole").getField(c)).alias(c) for c in columns]
+    )
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = ARROW_ROWS):
     """Pieces of at most ``rows`` rows, so that Python lists stay small."""
     for batch in batches:
