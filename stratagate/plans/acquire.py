@@ -33,6 +33,10 @@ def acquire(
 ) -> Run:
     """Log the files below ``folder``; a known period is not landed again unless forced."""
     with attempt(store, v.ACQUISITION, base, period) as run:
+        asked = store.spark.createDataFrame(
+            [(base, period)], "identificador string, competencia string"
+        )
+        checks.require(checks.period_format(asked))
         known = runlog.latest_acquisition(history(store, base)).where(
             F.col("competencia") == period
         )

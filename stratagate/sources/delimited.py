@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +11,13 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from stratagate import vocabulary as v
 from stratagate.contract import Contract, Dialect
+from stratagate.functions.lineage import lineage
+from stratagate.session import settings
 
 LINE = "_malformed_line"
 PART = "_part"
+#: Scheme and authority of a URI, such as s3://bucket or file:.
+_AUTHORITY = re.compile("^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?")
 
 
 def source_part(folder: str, split: bool = False) -> Column:
@@ -22,10 +25,28 @@ def source_part(folder: str, split: bool = False) -> Column:
 
     With ``split`` a part is a folder of files, and its name is the first level.
     """
-    below = "/" + re.escape(folder.strip("/")) + ("/([^/]+)/" if split else "/(.+)$")
+    place = _AUTHORITY.sub("", folder)
+    # a relative folder may start anywhere
+    start = "^/" if place.startswith("/") else "/"
+    below = start + re.escape(place.strip("/")) + ("/+([^/]+)/" if split else "/+(.+)$")
     # '+' stands for itself in a path; only %XX sequences are encoded
     path = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
-    return F.regexp_extract(path, below, 1)
+    return F.regexp_extract(F.regexp_replace(path, _AUTHORITY.pattern, ""), below, 1)
+
+
+def literal_path(path: str) -> str:
+    """A path for a reader that would take brackets, stars and the like as a glob."""
+    return re.sub(r"([][{}*?\\])", r"\\\1", path)
+
+
+def has_text(line: Column) -> Column:
+    """Whether the CSV reader sees a line: one of characters up to U+0020 it skips."""
+    return line.rlike("[^\\x00-\\x20]")
+
+
+def _any_charset(spark: SparkSession):
+    """Decoding windows-1252 is refused unless Java's charsets are wanted."""
+    return settings(spark, spark__sql__legacy__javaCharsets="true")
 
 
 def reader_options(dialect: Dialect) -> dict[str, str]:
@@ -53,11 +74,12 @@ def scan_rows(
     folder: str,
 ) -> DataFrame:
     """Every column as text; a line of the wrong width keeps its text in LINE."""
-    if contract.dialect.encoding == "windows-1252":
-        # Spark refuses this charset unless told that it is wanted
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     columns = [f.name for f in contract.source_fields] + [LINE]
     schema = StructType([StructField(c, StringType()) for c in columns])
+    if contract.dialect.encoding == "windows-1252":
+        # Spark refuses this charset unless told that it is wanted, and asks again
+        # when the scan runs: for this one the session has to stay told
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     rows = (
         spark.read.schema(schema)
         .options(**reader_options(contract.dialect))
@@ -81,46 +103,46 @@ def scan_lines(
 ) -> DataFrame:
     """Physical lines, read without the CSV parser; blank ones are left out."""
     lines = spark.read.option("recursiveFileLookup", "true").text(paths)
-    return lines.where(F.length(F.trim("value")) > 0).select(
+    return lines.where(has_text(F.col("value"))).select(
         source_part(folder, split).alias(PART), "value"
     )
 
 
-def first_lines(
-    spark: SparkSession, paths: str | Sequence[str], folder: str
+def decoded(line: Column, spark: SparkSession, encoding: str) -> Column:
+    """Text of a line the text reader took as UTF-8, by its declared charset."""
+    if encoding == "utf-8":
+        return line
+    with _any_charset(spark):
+        return F.decode(line.cast("binary"), v.CHARSETS[encoding])
+
+
+def measured_lines(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    folder: str,
+    encoding: str = "utf-8",
+    split: bool = False,
 ) -> DataFrame:
-    """First line of every file."""
+    """Part, physical lines and first line (``value``) of every part, in one job."""
     lines = spark.read.option("recursiveFileLookup", "true").text(paths)
-    return (
-        lines.where(F.col("_metadata.file_block_start") == 0)
-        .select(
-            source_part(folder).alias(PART),
-            "value",
-            F.monotonically_increasing_id().alias("_at"),
-        )
-        .where(F.length(F.trim("value")) > 0)
-        .groupBy(PART)
-        .agg(F.min_by("value", "_at").alias("value"))
+    first = F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id())
+    seen = lines.where(has_text(F.col("value"))).select(
+        source_part(folder, split).alias("part"),
+        decoded(F.col("value"), spark, encoding).alias("value"),
+        first.alias("_at"),
+    )
+    return seen.groupBy("part").agg(
+        F.count(F.lit(1)).alias("physical"), F.min_by("value", "_at").alias("value")
     )
 
 
-def header_lines(
-    spark: SparkSession, parts: Sequence[tuple[str, str]]
+def first_lines(
+    spark: SparkSession, paths: str | Sequence[str], folder: str, encoding: str = "utf-8"
 ) -> DataFrame:
-    """First line of a few (part, path) files, reading one split's head of each.
-
-    For the handful of parts a contract names; :func:`first_lines` does any
-    number of files in one job, but has to read them through.
-    """
-
-    def head(part: tuple[str, str]) -> tuple[str, str]:
-        lines = spark.read.text(part[1]).where(F.length(F.trim("value")) > 0)
-        row = lines.where(F.col("_metadata.file_block_start") == 0).head()
-        return part[0], row.value if row else ""
-
-    with ThreadPoolExecutor(8) as pool:
-        found = list(pool.map(head, parts))
-    return spark.createDataFrame(found, f"{PART} string, value string")
+    """First line of every file."""
+    return measured_lines(spark, paths, folder, encoding).select(
+        F.col("part").alias(PART), "value"
+    )
 
 
 def well_formed(rows: DataFrame) -> DataFrame:
@@ -137,11 +159,7 @@ def bronze_columns(contract: Contract, period: str, run_id: str) -> list[Column]
         F.lit(None).cast("string").alias(f.name) if f.absent else F.col(f.name)
         for f in contract.fields
     ]
-    return business + [
-        F.lit(period).alias(v.PERIOD_COL),
-        F.col(PART).alias(v.PART_COL),
-        F.lit(run_id).alias(v.RUN_COL),
-    ]
+    return [*business, *lineage(period, F.col(PART), run_id)]
 
 
 def bronze_rows(

@@ -2,63 +2,30 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
-from collections.abc import Iterator
 
-import pyarrow as pa
-from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratagate.sources.delimited import source_part
 
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
-READ_BYTES = 8 * 1024 * 1024
-
 
 def landing_manifest(spark: SparkSession, path: str, folder: str) -> DataFrame:
     """Part, path, size and SHA-256 of every landed file.
 
-    The listing gives path and size without opening files. Files that fit one
-    row are hashed from their content; larger ones are streamed, one task each.
+    Every file goes through the session's own reader, whatever its store. A file
+    is one row, so the reader's limit of 2 GiB per file holds; it refuses larger
+    ones by name.
     """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(path)
         .withColumn("part", source_part(folder))
-        .withColumn("uri", F.col("_metadata.file_path"))
-    )
-    layout = ("part", "path", "bytes")
-    listed = files.withColumnRenamed("length", "bytes")
-    small = listed.where(F.col("bytes") <= WHOLE_FILE_BYTES).select(
-        *layout, F.sha2("content", 256).alias("sha256")
     )
-    large = listed.where(F.col("bytes") > WHOLE_FILE_BYTES).select(*layout, "uri")
-    streamed = large.repartition("uri").mapInArrow(
-        _stream_hash, "part string, path string, bytes bigint, sha256 string"
+    return files.select(
+        "part", "path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")
     )
-    return small.unionByName(streamed)
-
-
-def _stream_hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        hashes = [_sha256(p) for p in batch.column("uri").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:3], pa.array(hashes, pa.string())],
-            names=["part", "path", "bytes", "sha256"],
-        )
-
-
-def _sha256(uri: str) -> str:
-    # file:/x is how Hadoop spells a local path
-    filesystem, path = FileSystem.from_uri(re.sub("^file:/+", "file:///", uri))
-    digest = hashlib.sha256()
-    with filesystem.open_input_stream(path) as stream:
-        while chunk := stream.read(READ_BYTES):
-            digest.update(chunk)
-    return digest.hexdigest()
 
 
 def glob_to_regex(pattern: str) -> str:

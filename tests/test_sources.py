@@ -3,7 +3,7 @@ import hashlib
 import pytest
 
 from stratagate.contract import Contract, Dialect, Field
-from stratagate.operators import profile
+from stratagate.operators import checks, profile
 from stratagate.sources import delimited, landing
 from stratagate.sources.delimited import LINE, PART
 
@@ -68,18 +68,49 @@ def test_absent_column_stays_null(spark, tmp_path):
     assert out.first()[:4] == ("1", None, "2", "3")
 
 
-def test_manifest_hashes_small_and_large_files(spark, tmp_path, monkeypatch):
+def test_manifest_hashes(spark, tmp_path):
     write(tmp_path / "a b+c%", "f1.CSV", "x" * 50)
     write(tmp_path, "f2.csv", "abc")
+    write(tmp_path, "a[1]*.csv", "y")
     expected = {
-        "a b+c%/f1.CSV": hashlib.sha256(b"x" * 50).hexdigest(),
-        "f2.csv": hashlib.sha256(b"abc").hexdigest(),
+        "a b+c%/f1.CSV": (50, hashlib.sha256(b"x" * 50).hexdigest()),
+        "f2.csv": (3, hashlib.sha256(b"abc").hexdigest()),
+        "a[1]*.csv": (1, hashlib.sha256(b"y").hexdigest()),
     }
-    for limit in (1 << 20, 10, 0):
-        monkeypatch.setattr(landing, "WHOLE_FILE_BYTES", limit)
-        files = landing.landing_manifest(spark, str(tmp_path), str(tmp_path)).collect()
-        assert {f.part: f.sha256 for f in files} == expected
-        assert {f.part: f.bytes for f in files} == {"a b+c%/f1.CSV": 50, "f2.csv": 3}
+    for folder in (str(tmp_path), f"file://{tmp_path}", f"file:{tmp_path}/"):
+        files = landing.landing_manifest(spark, str(tmp_path), folder).collect()
+        assert {f.part: (f.bytes, f.sha256) for f in files} == expected
+
+
+def test_odd_names_and_uris(spark, tmp_path):
+    for name in ("a[1].csv", "b {2}.csv", "c+%20?.csv"):
+        write(tmp_path, name, f"{name};1;2\n")
+    uri = f"file://{tmp_path}"
+    paths = [delimited.literal_path(f"{uri}/{n}") for n in ("a[1].csv", "b {2}.csv")]
+    rows = delimited.scan_rows(spark, PLAIN, paths, uri).collect()
+    assert {(r[PART], r.a) for r in rows} == {("a[1].csv",) * 2, ("b {2}.csv",) * 2}
+    lines = delimited.scan_lines(spark, str(tmp_path), uri)
+    assert {r[PART] for r in lines.collect()} == {"a[1].csv", "b {2}.csv", "c+%20?.csv"}
+
+
+def test_lines_the_reader_skips_are_not_counted(spark, tmp_path):
+    write(tmp_path, "f.csv", "1;2;3\n\t\t\n \t \n4;5;6\n")
+    physical = delimited.measured_lines(spark, str(tmp_path), str(tmp_path)).first()
+    assert physical.physical == 2 == scan(spark, tmp_path).count()
+
+
+def test_headers_are_decoded_as_declared(spark, tmp_path):
+    for encoding, name in (("iso-8859-1", "SITUAÇÃO"), ("windows-1252", "PREÇO€"), ("utf-8", "日本")):
+        folder = tmp_path / encoding
+        folder.mkdir()
+        (folder / "f.csv").write_bytes(f"CÓDIGO;\"A \\\" B\";{name}\n1;2;3\n".encode(encoding))
+        contract = Contract(
+            "o", "b", "e",
+            fields=(Field("a", header="CÓDIGO"), Field("b", header='A " B'), Field("c", header=name)),
+            dialect=Dialect(encoding=encoding, escape="\\"),
+        )
+        first = delimited.first_lines(spark, str(folder), str(folder), encoding)
+        assert checks.header(first, contract).collect() == []
 
 
 def test_selection_ignores_case(spark):
