@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from stratagate.operators import sizing
 from stratagate.session import settle
 
-CHUNK = 100_000
+CHUNK = 10_000
 
 
 def repeated_keys(rows: DataFrame, key: list[str], size: str) -> DataFrame:
@@ -85,16 +85,16 @@ def number_copies(
     placed = counted.withColumn(
         "_before", F.coalesce(F.sum("_n").over(before), F.lit(0))
     )
-    few = placed.where(F.col("_n") <= CHUNK).withColumn(
-        index, _span(F.col("_before"), F.col("_n"))
-    )
+    single = placed.where(F.col("_n") == 1).withColumn(index, F.col("_before") + 1)
+    # with its number given, adaptive execution leaves this exchange as it is
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = (
-        placed.where(F.col("_n") > CHUNK)
+        placed.where(F.col("_n") > 1)
         .withColumn(
             "_chunk",
             F.explode(F.sequence(F.lit(0), F.col("_n") - 1, F.lit(CHUNK))),
         )
-        .repartition(F.col(group), F.col("_chunk"))
+        .repartition(tasks, group, order, "_chunk")
     )
     many = chunks.withColumn(
         index,
@@ -104,7 +104,7 @@ def number_copies(
         ),
     )
     keep = [*rows.columns, index]
-    return few.select(keep).unionByName(many.select(keep))
+    return single.select(keep).unionByName(many.select(keep))
 
 
 def _span(before: Column, length: Column) -> Column:

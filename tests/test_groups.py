@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from stratagate.operators import groups, sizing
 
@@ -40,3 +41,11 @@ def test_copies_are_numbered_without_gaps(spark, monkeypatch, chunk):
         for i, p in enumerate(sorted(p for g, p in rows if g == h), start=1):
             expected.add((h, p, i))
     assert found == expected and got.count() == len(rows)
+
+
+def test_hot_copies_are_written_by_several_tasks(spark):
+    many = spark.range(4 * groups.CHUNK).selectExpr("'h' AS hash", "'p' AS part")
+    numbered = groups.number_copies(many, "hash", "part", "copy")
+    found = numbered.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(found) > 1 and sum(r["count"] for r in found) == 4 * groups.CHUNK
+    assert numbered.agg(F.countDistinct("copy"), F.max("copy")).first()[:] == (4 * groups.CHUNK,) * 2
