@@ -10,7 +10,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from stratagate import vocabulary as v
-from stratagate.functions.convert import label_of, to_date, to_number
+from stratagate.functions.convert import is_listed, label_of, to_date, to_number
 from stratagate.functions.text import Transform
 
 SPARK_TYPES = {
@@ -93,7 +93,11 @@ class Field:
         return to_number(text, self.spark_type, self.decimal_mark)
 
     def label(self, code):
-        return label_of(code, self.labels.codes)
+        return label_of(code, self.labels.codes, self.spark_type)
+
+    def listed(self, code):
+        """Whether a typed value is one of the declared codes."""
+        return is_listed(code, self.labels.codes, self.spark_type)
 
 
 @dataclass(frozen=True)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,7 +29,18 @@ def to_date(c: Column, notation: str) -> Column:
     return F.try_to_timestamp(c, F.lit(date_pattern(notation))).cast("date")
 
 
-def label_of(code: Column, labels: Mapping[str, str]) -> Column:
+def is_code(value: Column, code: str, spark_type: str) -> Column:
+    """A typed value against a code written as text."""
+    return value == F.lit(code).try_cast(spark_type)
+
+
+def label_of(value: Column, labels: Mapping[str, str], spark_type: str = "string") -> Column:
     """Description of a code; NULL when the code is not listed."""
-    pairs = [F.lit(x) for pair in labels.items() for x in pair]
-    return F.try_element_at(F.create_map(*pairs), code)
+    told = [F.when(is_code(value, c, spark_type), F.lit(text)) for c, text in labels.items()]
+    return F.coalesce(*told, F.lit(None).cast("string"))
+
+
+def is_listed(value: Column, codes: Iterable[str], spark_type: str = "string") -> Column:
+    return F.coalesce(
+        reduce(or_, [is_code(value, c, spark_type) for c in codes], F.lit(False)), F.lit(False)
+    )

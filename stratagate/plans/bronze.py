@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from stratagate import vocabulary as v
 from stratagate.contract import Contract
 from stratagate.operators import checks
-from stratagate.operators.quarantine import Publication, malformed_rows
+from stratagate.operators.quarantine import Origin, malformed_rows
 from stratagate.plans.publish import publish, require_governance, require_schema
 from stratagate.plans.runs import Run, attempt
-from stratagate.session import settings
+from stratagate.session import settings, settle
 from stratagate.sinks.store import Store
 from stratagate.sources import delimited
-from stratagate.sources.delimited import LINE, PART
+from stratagate.sources.delimited import LINE
 
 WELL_FORMED = "_well_formed"
 
@@ -68,20 +68,22 @@ def publish_bronze(
         checks.require(
             checks.part_count(manifest, contract.part_count, contract.identifier)
         )
-        # names and paths of the contracted parts, as the reader wants them
-        selected = manifest.select("part", "path").collect()
-        paths = [r.path for r in selected]
+        # paths of the contracted parts, as the reader wants them
+        paths = [delimited.literal_path(r.path) for r in manifest.select("path").collect()]
+        lines = settle(
+            delimited.measured_lines(
+                spark, paths, folder, contract.dialect.encoding, contract.split_parts
+            )
+        )
         if contract.dialect.header:
-            first = delimited.header_lines(spark, selected)
-            checks.require(checks.header(first, contract))
+            named = manifest.select("part").join(lines, "part")
+            checks.require(checks.header(named.select("part", "value"), contract))
         version = store.folder(table, run.id)
         rows = delimited.scan_rows(spark, contract, paths, folder)
         stage(rows, contract, period, run.id, version)
         staged = spark.read.parquet(version)
         read = staged_counts(staged)
-        physical = delimited.physical_counts(
-            delimited.scan_lines(spark, paths, folder, contract.split_parts)
-        )
+        physical = lines.select("part", "physical")
         counts = _part_table(manifest, physical, read).collect()
         run.details["partes"] = {
             r.part: {"fisicas": r.physical, "lidas": r.read, "malformadas": r.malformed}
@@ -113,7 +115,7 @@ def publish_bronze(
         bad = sum(r.malformed for r in counts)
         if bad and action in v.ALERTING:
             run.alerts.append(f"{bad} malformed lines in quarantine")
-        publication = Publication.of(contract, "bronze", period, fingerprint, run.id)
+        publication = Origin(contract, "bronze", period, fingerprint, run.id)
         publish(
             store,
             table,
@@ -122,7 +124,7 @@ def publish_bronze(
             contract,
             run,
             publication,
-            malformed_rows(staged.where(~F.col(WELL_FORMED)), LINE, v.PART_COL, action),
+            malformed_rows(staged.where(~F.col(WELL_FORMED)), LINE, action),
             expected_published=total - bad,
             expected_withdrawn=bad,
         )

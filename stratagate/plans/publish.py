@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from stratagate import vocabulary as v
 from stratagate.contract import Contract
 from stratagate.operators import checks, quarantine
-from stratagate.operators.quarantine import Publication
+from stratagate.operators.quarantine import Origin
 from stratagate.operators.runlog import latest_effective
 from stratagate.operators.schema import schema_change, schema_diff, schema_rows
 from stratagate.plans.runs import Run, history
@@ -62,6 +62,7 @@ def require_governance(
         " estado_contrato string, hash_leitura string, hash_contrato string",
     )
     found = [
+        checks.period_format(request),
         checks.evidence(request, runs),
         checks.version(request, runs),
         checks.period(request, runs, allow_earlier),
@@ -92,7 +93,7 @@ def require_schema(
     checks.require(schema_change(diff, versions))
 
 
-def append_quarantine(store: Store, rows: DataFrame, publication: Publication) -> int:
+def append_quarantine(store: Store, rows: DataFrame, publication: Origin) -> int:
     """Append the rows not stored yet, then count by reading back those that are.
 
     The rows are evaluated once; both joins then read their ids from a table.
@@ -113,7 +114,7 @@ def publish(
     schema: list[tuple[str, str]],
     contract: Contract,
     run: Run,
-    publication: Publication,
+    publication: Origin,
     withdrawn: DataFrame,
     expected_published: int,
     expected_withdrawn: int,

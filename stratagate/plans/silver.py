@@ -16,7 +16,7 @@ from stratagate.operators.evaluate import (
     published_rows,
     totals,
 )
-from stratagate.operators.quarantine import Publication, withdrawn_rows
+from stratagate.operators.quarantine import Origin, withdrawn_rows
 from stratagate.operators.runlog import latest_effective
 from stratagate.plans.publish import publish, require_governance, require_schema
 from stratagate.plans.runs import Run, attempt
@@ -92,7 +92,7 @@ def publish_silver(
             )
         if measured["alert"]:
             run.alerts.append(f"{measured['alert']} rows with an alerting violation")
-        publication = Publication.of(
+        publication = Origin(
             contract, "silver", period, source.publication_fingerprint, run.id
         )
         publish(

@@ -23,16 +23,6 @@ def settings(spark: SparkSession, **values: str):
             spark.conf.unset(k) if val is None else spark.conf.set(k, val)
 
 
-def prepare(spark: SparkSession) -> None:
-    """Session settings the row evaluation wants.
-
-    A contract of thirty columns compiles to one method larger than the 8000
-    bytes HotSpot is willing to compile, and then runs interpreted. Past that
-    size Spark is told to use its split, compiled projections instead.
-    """
-    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
-
-
 def lenient(spark: SparkSession):
     """Expressions built inside give NULL where ANSI mode would raise.
 

@@ -10,7 +10,7 @@ from stratagate.functions import convert, text
 from stratagate.operators import evaluate as ev
 from stratagate.operators.groups import number_copies, with_group_size
 from stratagate.operators.quarantine import (
-    Publication,
+    Origin,
     quarantine_layout,
     withdrawn_rows,
 )
@@ -201,9 +201,9 @@ def reasons_of(spark, sf_dir, *kinds):
     listed = ev.reasons(found.checks)
     return (
         found.rows.select(
-            F.col(ev.raw_name("order_id")).alias("order_id"),
+            ev.delivered("order_id").alias("order_id"),
             F.col(v.PART_COL).alias("source_part"),
-            F.col(ev.raw_name("amount")).alias("amount"),
+            ev.delivered("amount").alias("amount"),
             F.inline(listed),
         )
         .where(F.col("classe").isin(*kinds))
@@ -278,10 +278,10 @@ def reasons(spark, sf_dir):
         listed,
         lambda m: F.concat_ws(":", m["classe"], F.coalesce(m["regra"], m["coluna"]), m["acao"]),
     )
-    return found.rows.where(F.col(ev.raw_name("order_id")) != "").select(
-        F.col(ev.raw_name("order_id")).alias("order_id"),
+    return found.rows.where(ev.delivered("order_id") != "").select(
+        ev.delivered("order_id").alias("order_id"),
         F.col(v.PART_COL).alias("source_part"),
-        F.col(ev.raw_name("amount")).alias("amount"),
+        ev.delivered("amount").alias("amount"),
         F.array_join(told, " ").alias("reasons"),
         F.size(listed).cast("bigint").alias("reason_count"),
     )
@@ -300,9 +300,9 @@ def reasons(spark, sf_dir):
 def row_destination(spark, sf_dir):
     found = orders_evaluation(spark, sf_dir, STRICT_ORDERS)
     return found.rows.select(
-        F.col(ev.raw_name("order_id")).alias("order_id"),
+        ev.delivered("order_id").alias("order_id"),
         F.col(v.PART_COL).alias("source_part"),
-        F.col(ev.raw_name("amount")).alias("amount"),
+        ev.delivered("amount").alias("amount"),
         ev.destination().alias("destination"),
     )
 
@@ -325,7 +325,7 @@ GROUP_SQL = """concat_ws('|',
 )
 def problem_group(spark, sf_dir):
     found = orders_evaluation(spark, sf_dir)
-    named = ev.problem_group(ev.reasons(found.checks))
+    named = ev.problem_group(found.checks)
     return (
         found.rows.where(ev.WITHDRAW)
         .groupBy(named.alias("problem_group"))
@@ -380,7 +380,7 @@ def silver_rows(spark, sf_dir):
     return ev.published_rows(orders_evaluation(spark, sf_dir), "2026-09", "run-1")
 
 
-PUBLICATION = Publication.of(ORDERS, "silver", "2026-09", "delivery-1", "run-1")
+PUBLICATION = Origin(ORDERS, "silver", "2026-09", "delivery-1", "run-1")
 
 
 @query(
@@ -429,7 +429,7 @@ FROM lineitem
 def quarantine_copies(spark, sf_dir):
     """A third of the rows leave, nearly all of them copies of a few others."""
     raw = from_sql(spark, sf_dir, SHIPPED).withColumnRenamed("source_part", v.PART_COL)
-    publication = Publication.of(SHIPMENTS, "silver", "2026-09", "delivery-1", "run-1")
+    publication = Origin(SHIPMENTS, "silver", "2026-09", "delivery-1", "run-1")
     layout = quarantine_layout(withdrawn_rows(ev.evaluate(raw, SHIPMENTS)), publication)
     return layout.select(
         *[

@@ -3,6 +3,8 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from stratagate import vocabulary as v
+from stratagate.contract import Field, Labels
 from stratagate.functions import convert, text
 
 
@@ -59,3 +61,14 @@ def test_dates(spark):
 
 def test_label(spark):
     assert values(spark, ["A", "Z", None], convert.label_of(F.col("c"), {"A": "Ativo"})) == ["Ativo", None, None]
+
+
+def test_labels_of_typed_codes(spark):
+    labels = Labels({"1": "One", "02": "Two", "x": "never"}, "label")
+    for kind, typed in ((v.INTEGER, "int"), (v.LONG, "bigint")):
+        f = Field("c", kind, header="C", domain=labels)
+        df = spark.createDataFrame([(1,), (2,), (3,), (None,)], f"c {typed}")
+        rows = df.select(f.label(F.col("c")).alias("label"), f.listed(F.col("c")).alias("known"))
+        assert [tuple(r) for r in rows.collect()] == [
+            ("One", True), ("Two", True), (None, False), (None, False),
+        ]
