@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stratagate import vocabulary as v
 from stratagate.contract import Contract
 from stratagate.operators.runlog import effective, latest_effective
+from stratagate.session import written
 
 PERIOD_PATTERN = "^[0-9]{4}-(0[1-9]|1[0-2])$"
 
@@ -31,13 +32,25 @@ def all_problems(*found: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
-def require(*found: DataFrame, shown: int = 50) -> None:
-    """Stop when any check has a problem; the message shows the first ones."""
-    problems = all_problems(*found).orderBy("check", "subject").limit(shown).collect()
-    if problems:
-        raise PublicationBlocked(
-            "; ".join(f"{p.check} {p.subject}: {p.problem}" for p in problems)
-        )
+def require(*found: DataFrame) -> None:
+    """Stop when any check has a problem.
+
+    All problems are kept in a table of the shared folder, which the message names
+    with their number; it quotes as many as an error text holds.
+    """
+    problems = written(all_problems(*found), "problems")
+    total = problems.count()
+    if not total:
+        return
+    quoted, size = [], 0
+    for p in problems.orderBy("check", "subject", "problem").limit(v.ERROR_CHARS).toLocalIterator():
+        told = f"{p.check} {p.subject}: {p.problem}"
+        size += len(told) + 2
+        if quoted and size > v.ERROR_CHARS - 200:
+            break
+        quoted.append(told)
+    where = f" ({total} problems in {problems.inputFiles()[0].rsplit('/', 1)[0]})"
+    raise PublicationBlocked("; ".join(quoted) + (where if total > len(quoted) else ""))
 
 
 def _text(pattern: str, *columns) -> Column:
@@ -51,6 +64,16 @@ def period_valid(period: Column) -> Column:
     return F.coalesce(period.rlike(PERIOD_PATTERN), F.lit(False))
 
 
+def period_format(request: DataFrame) -> DataFrame:
+    """A period is a year and a month, or its order means nothing."""
+    return as_problems(
+        request.where(~period_valid(F.col("competencia"))),
+        "period_format",
+        F.col("identificador"),
+        _text("period %s is not YYYY-MM", F.coalesce("competencia", F.lit("NULL"))),
+    )
+
+
 def part_count(selected: DataFrame, expected: int | None, subject: str) -> DataFrame:
     counted = selected.agg(F.count(F.lit(1)).alias("found"))
     wrong = F.col("found") == 0
@@ -64,16 +87,17 @@ def part_count(selected: DataFrame, expected: int | None, subject: str) -> DataF
     )
 
 
-def header_names(line: Column, separator: str, quote: str) -> Column:
-    """Names of a header line: quotes honoured; BOM and blanks dropped."""
-    s, q = f"\\Q{separator}\\E", f"\\Q{quote}\\E"
-    token = f"(?:^|{s})({q}[^{quote}]*(?:{q}{q}[^{quote}]*)*{q}|[^{separator}]*)"
+def header_names(line: Column, separator: str, quote: str, escape: str = '"') -> Column:
+    """Names of a header line: quotes and escapes honoured; BOM and blanks dropped."""
+    s, q, e = (f"\\Q{x}\\E" for x in (separator, quote, escape))
+    plain = f"(?!{q}|{e})."
+    token = f"(?:^|{s})({q}(?:{plain}|{e}{q}|{e}(?!{q}))*{q}|(?:(?!{s}).)*)"
     clean = F.regexp_replace(line, "^﻿", "")
     found = F.regexp_extract_all(clean, F.lit(token), F.lit(1))
 
     def bare(name: Column) -> Column:
         inner = F.regexp_replace(name, f"^{q}(.*){q}$", "$1")
-        return F.trim(F.replace(inner, F.lit(quote * 2), F.lit(quote)))
+        return F.trim(F.replace(inner, F.lit(escape + quote), F.lit(quote)))
 
     return F.transform(found, bare)
 
@@ -87,7 +111,7 @@ def header(first_lines: DataFrame, contract: Contract) -> DataFrame:
     d = contract.dialect
     found = first_lines.select(
         F.col(first_lines.columns[0]).alias("part"),
-        header_names(F.col("value"), d.separator, d.quote).alias("names"),
+        header_names(F.col("value"), d.separator, d.quote, d.escape).alias("names"),
     )
 
     def misplaced(name: Column, at: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratagate import vocabulary as v
+from stratagate.operators.checks import as_problems, require
 
 
 def upsert(
@@ -18,7 +19,12 @@ def upsert(
     key: Sequence[str],
     update: Sequence[str],
 ) -> DataFrame:
-    """Insert new keys whole; on known keys only ``update`` columns change."""
+    """Insert new keys whole; on known keys only ``update`` columns change.
+
+    A key may stand once in the source: which row should win is not for the table
+    to decide, so a doubled one stops the upsert.
+    """
+    require(doubled_source(source, key, "source"))
     t = target.withColumn("_in_target", F.lit(True)).alias("t")
     s = source.withColumn("_in_source", F.lit(True)).alias("s")
     same = reduce(and_, [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in key])
@@ -33,6 +39,17 @@ def upsert(
     return both.select(*[pick(c) for c in target.columns])
 
 
+def doubled_source(source: DataFrame, key: Sequence[str], subject: str) -> DataFrame:
+    """Keys that a source of an upsert holds more than once."""
+    doubled = source.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    return as_problems(
+        doubled,
+        "upsert_source",
+        subject,
+        F.format_string("key %s in %d source rows", F.to_json(F.struct(*key)), "_n"),
+    )
+
+
 def catalog_sync(name: str, target: DataFrame, source: DataFrame) -> DataFrame:
     """Structure follows the contracts; curated columns are kept once written."""
     curated = v.CATALOG_CURATED[name]

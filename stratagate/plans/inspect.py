@@ -12,6 +12,7 @@ from stratagate.operators import profile, references
 from stratagate.operators.checks import PublicationBlocked
 from stratagate.operators.upsert import catalog_sync
 from stratagate.plans.runs import Run, attempt, new_run_id
+from stratagate.session import settle, written
 from stratagate.sinks.store import Store
 from stratagate.sources import delimited
 
@@ -23,13 +24,17 @@ def inspect_delivery(
     spark = store.spark
     with attempt(store, v.INSPECTION, contract.identifier, period, contract) as run:
         lines = delimited.scan_lines(spark, paths, folder)
-        first = delimited.first_lines(spark, paths, folder)
-        problems = profile.part_problems(
+        first = settle(delimited.first_lines(spark, paths, folder, contract.dialect.encoding))
+        found = profile.part_problems(
             lines, profile.byte_lines(spark, paths, folder), first, contract
         )
+        # all of them stay in a table; the log says where, and how many there are
+        problems = written(found, "inspection")
         result = profile.overall(profile.verdict(first, problems)).first()
         run.values["resultado"] = result.verdict
-        shown = problems.orderBy(delimited.PART, "problem").limit(50)
+        run.details["problemas_total"] = problems.count()
+        run.details["problemas_tabela"] = [f.rsplit("/", 1)[0] for f in problems.inputFiles()[:1]]
+        shown = problems.orderBy(delimited.PART, "problem").limit(v.EXAMPLES)
         run.details["problemas"] = [f"{r[0]}: {r[1]}" for r in shown.collect()]
     return run
 

@@ -175,3 +175,25 @@ def test_landed_and_relanded(spark):
     assert told(checks.landed(wanted, files)) == ["declared but not landed", "landed 2 times"]
     again = spark.createDataFrame([("a", "1"), ("b", "3")], layout)
     assert [r.subject for r in checks.relanded(files.distinct(), again).collect()] == ["b"]
+
+
+def test_a_doubled_source_key_stops_an_upsert(spark):
+    target = spark.createDataFrame([(1, "a")], "k int, x string")
+    source = spark.createDataFrame([(1, "b"), (1, "c"), (None, "d")], "k int, x string")
+    with pytest.raises(checks.PublicationBlocked, match='key {"k":1} in 2 source rows'):
+        upsert.upsert(target, source, ["k"], ["x"])
+
+
+def test_all_problems_are_kept(spark):
+    many = spark.range(3000).selectExpr("'check' AS check", "CAST(id AS string) AS subject", "'wrong' AS problem")
+    with pytest.raises(checks.PublicationBlocked, match="3000 problems in ") as stopped:
+        checks.require(many)
+    folder = str(stopped.value).rsplit(" in ", 1)[1].rstrip(")")
+    assert spark.read.parquet(folder).count() == 3000
+    assert len(str(stopped.value)) <= v.ERROR_CHARS + 300
+
+
+@pytest.mark.parametrize("period", ["2026-13", "2026", None])
+def test_a_period_is_year_and_month(spark, period):
+    rows = spark.createDataFrame([("e", period)], "identificador string, competencia string")
+    assert checks.period_format(rows).count() == 1
