@@ -261,14 +261,20 @@ def check_rule(spark, sf_dir):
 
 @query(
     "reasons",
-    REASONS
+    EVALUATED
     + """
-    SELECT e.order_id, e.source_part, e.amount,
-           coalesce(string_agg(r.classe || ':' || coalesce(r.regra, r.coluna) || ':' || r.acao, ' ' ORDER BY r.at), '') AS reasons,
-           count(r.at) AS reason_count
-    FROM evaluated e LEFT JOIN reasons r ON r.order_id = e.order_id AND r.source_part = e.source_part
-      AND (r.coluna <> 'order_id' OR e.no_key OR e.dup_key) AND e.order_id <> ''
-    WHERE e.order_id <> '' GROUP BY e.order_id, e.source_part, e.amount
+    SELECT order_id, source_part, amount,
+           concat_ws(' ', CASE WHEN bad_status THEN 'dominio:status:QUARENTENA_E_ALERTA' END,
+                     CASE WHEN bad_amount THEN 'conversao:amount:QUARENTENA' END,
+                     CASE WHEN bad_date THEN 'conversao:order_date:QUARENTENA' END,
+                     CASE WHEN no_date THEN 'nulidade:order_date:QUARENTENA' END,
+                     CASE WHEN no_key THEN 'chave_nula:order_id:QUARENTENA' END,
+                     CASE WHEN dup_key THEN 'chave_duplicada:order_id:QUARENTENA_GRUPO' END,
+                     CASE WHEN negative THEN 'regra:amount_not_negative:ALERTA' END) AS reasons,
+           CAST(bad_status AS INT) + CAST(bad_amount AS INT) + CAST(bad_date AS INT)
+             + CAST(no_date AS INT) + CAST(no_key AS INT) + CAST(dup_key AS INT)
+             + CAST(negative AS INT) AS reason_count
+    FROM evaluated
     """,
 )
 def reasons(spark, sf_dir):
@@ -278,7 +284,7 @@ def reasons(spark, sf_dir):
         listed,
         lambda m: F.concat_ws(":", m["classe"], F.coalesce(m["regra"], m["coluna"]), m["acao"]),
     )
-    return found.rows.where(ev.delivered("order_id") != "").select(
+    return found.rows.select(
         ev.delivered("order_id").alias("order_id"),
         F.col(v.PART_COL).alias("source_part"),
         ev.delivered("amount").alias("amount"),
@@ -472,10 +478,10 @@ def occurrence_index(spark, sf_dir):
 # ------------------------------------------------------- rule vocabulary
 
 VOCABULARY = {
-    "comparison": "quantity <> 0 AND price > quantity AND NOT price <= 1",
+    "comparison": "quantity <> 7 AND price > quantity AND NOT price <= 1",
     "arithmetic": "(price - quantity) * 2 / 4 + line % 3 > 5000",
     "logic": "NOT (flag = 'N' AND line = 1) OR price >= 60000",
-    "null_tests": "flag IS NOT NULL AND ship IS NOT NULL OR note IS NULL",
+    "null_tests": "flag IS NOT NULL AND ship IS NULL OR note IS NULL",
     "in_list": "flag IN ('A', 'R') OR line IN (1, 2, 3)",
     "between": "line BETWEEN 2 AND 5",
     "like": "note LIKE '%A%' OR note LIKE '_O%'",
