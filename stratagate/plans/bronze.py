@@ -79,6 +79,7 @@ def publish_bronze(
             named = manifest.select("part").join(lines, "part")
             checks.require(checks.header(named.select("part", "value"), contract))
         version = store.folder(table, run.id)
+        run.drafts.append(version)
         rows = delimited.scan_rows(spark, contract, paths, folder)
         stage(rows, contract, period, run.id, version)
         staged = spark.read.parquet(version)

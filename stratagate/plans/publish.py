@@ -132,15 +132,16 @@ def publish(
         "linhas_quarentena": kept,
     }
     source = run.values["linhas_origem"]
-    wrong = []
-    if source != published + kept:
-        wrong.append(f"source {source} != published {published} + quarantined {kept}")
-    if published != expected_published:
-        wrong.append(f"published {published}, expected {expected_published}")
-    if kept != expected_withdrawn:
-        wrong.append(f"quarantined {kept}, expected {expected_withdrawn}")
+    due = {
+        "source rows": (published + kept, source),
+        "published rows": (published, expected_published),
+        "quarantined rows": (kept, expected_withdrawn),
+    }
+    wrong = [f"{found} {what}, {wanted} due" for what, (found, wanted) in due.items() if found != wanted]
     if wrong:
         raise checks.PublicationBlocked("reconciliation: " + "; ".join(wrong))
+    # from here on the folder is the table's
+    run.drafts.clear()
     store.point(table, folder, schema)
     run.details["snapshot"] = folder
     store.comment(table, table_comment(contract, kind), column_comments(contract, kind))

@@ -29,6 +29,8 @@ class Run:
     values: dict
     details: dict = field(default_factory=dict)
     alerts: list[str] = field(default_factory=list)
+    #: Folders written by the attempt and not published; they go when it stops.
+    drafts: list[str] = field(default_factory=list)
 
     @property
     def id(self) -> str:
@@ -95,5 +97,7 @@ def attempt(
         run.values |= {"status": v.FAILED, "motivo": reason[: v.ERROR_CHARS]}
         raise
     finally:
+        for folder in run.drafts:
+            store.discard(folder)
         run.values["finalizado_em"] = datetime.now(UTC)
         log(store, run)

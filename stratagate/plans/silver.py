@@ -77,6 +77,7 @@ def publish_silver(
         )
         ev = evaluate(bronze, contract)
         version = store.folder(table, run.id)
+        run.drafts.append(version)
         measured = write_and_measure(ev, period, run.id, version)
         run.details["violacoes"] = violations(ev, measured)
         if measured["total"] != source.linhas_publicadas:

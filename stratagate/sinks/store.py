@@ -88,6 +88,14 @@ class Store:
             f"LOCATION '{sql_text(folder)}'"
         )
 
+    def discard(self, folder: str) -> None:
+        """Delete a folder of this store that nothing was pointed at."""
+        if not folder.startswith(self.root):
+            raise ValueError(f"{folder} is not below {self.root}")
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
     def count_version(self, folder: str, schema: list[tuple[str, str]]) -> int:
         """Rows in a written folder; answered from the file footers."""
         ddl = ", ".join(f"`{name}` {kind}" for name, kind in schema)

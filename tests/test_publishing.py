@@ -1,4 +1,5 @@
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -68,6 +69,8 @@ def test_blocked_publication_leaves_the_snapshot(lake, tmp_path):
     assert {r[v.RUN_COL] for r in table.collect()} == {first.id}
     row = last(lake)
     assert row.status == v.BLOCKED and "exemplos_bloqueio" in row.detalhes
+    versions = Path(lake.folder(f"{lake.silver}.{ITEMS.identifier}"))
+    assert [p.name for p in versions.iterdir()] == [first.id]
 
 
 def test_malformed_over_tolerance_blocks(lake, tmp_path):
