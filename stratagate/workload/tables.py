@@ -171,6 +171,26 @@ def upsert_subset(spark, sf_dir):
     )
 
 
+# Orders delivered twice under one key.
+DOUBLED = """
+SELECT o_orderkey, o_totalprice FROM orders
+UNION ALL SELECT o_orderkey, o_totalprice + 1 FROM orders WHERE o_orderkey % 71 = 0
+"""
+
+
+@query(
+    "chk_upsert_source",
+    f"""
+    SELECT 'upsert_source' AS "check", 'orders' AS subject,
+           'key {{"o_orderkey":' || CAST(o_orderkey AS STRING) || '}} in ' || CAST(count(*) AS STRING)
+             || ' source rows' AS problem
+    FROM ({DOUBLED}) GROUP BY o_orderkey HAVING count(*) > 1
+    """,
+)
+def chk_upsert_source(spark, sf_dir):
+    return upsert.doubled_source(from_sql(spark, sf_dir, DOUBLED), ["o_orderkey"], "orders")
+
+
 # A catalogue of columns: one entry per part, curated for the large ones.
 CURATED = """
 SELECT 'silver.' || lower(replace(p_brand, '#', '_')) AS ativo, p_name || ' ' || CAST(p_partkey AS STRING) AS coluna,
