@@ -33,10 +33,15 @@ def unboxed(rows: DataFrame, columns: list[str], **changed: Column) -> DataFrame
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = ARROW_ROWS):
-    """Pieces of at most ``rows`` rows, so that Python lists stay small."""
+    """Pieces of at most ``rows`` rows, so that Python lists stay small.
+
+    A worker outlives its task, so what the task's batches took is given back.
+    """
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
 
 
 def text_bytes(column: pa.Array) -> list[bytes | None]:

@@ -21,8 +21,9 @@ from array import array
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
-#: Pieces remembered by one Python worker, about 170 MB; later ones are encoded anew.
-REMEMBERED = 1_000_000
+#: Pieces remembered by one Python worker, about 40 MB; later ones are encoded anew.
+#: A piece is remembered when met again: most are met once. Slots that tell so, 4 MB.
+REMEMBERED, MET = 200_000, 1 << 22
 
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 _WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
@@ -69,6 +70,7 @@ class _Pieces(dict):
         self.shown_blank = self.letters[32] if keeps_space else ""
         self.feed = self.whole("\n")
         self.marks = _Marks(self.whole)
+        self.met = bytearray(MET)
 
     def whole(self, text: str) -> bytes:
         ids = self.library.encode(text, add_special_tokens=False).ids
@@ -90,7 +92,10 @@ class _Pieces(dict):
         else:
             packed = self.whole(self.blank + piece)
         if len(self) < REMEMBERED and len(piece) < 100:
-            self[piece] = packed
+            slot = hash(piece) % len(self.met)
+            if self.met[slot]:
+                self[piece] = packed
+            self.met[slot] = 1
         return packed
 
 
