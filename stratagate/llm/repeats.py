@@ -190,6 +190,8 @@ def _classed(ranges: DataFrame) -> tuple[DataFrame, DataFrame]:
         .where(F.col("_n") > 1)
         .select("up", "key", "_alike")
     )
+    # written first: a join of two plain exchanges is one whose hot class can be split
+    classes = written(classes, "classes")
     shared = written(ranges.join(classes, ["up", "key"]), "ranges")
     alike = shared.where("_alike").select("tid", "at", "low", "high")
     mixed = shared.where("NOT _alike")
