@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratagate.llm.components import components
-from stratagate.llm.tables import boxed, let, slices, task_count, text_bytes, unboxed
+from stratagate.llm.tables import boxed, slices, task_count, text_bytes, unboxed
 from stratagate.operators.sizing import broadcast_if_small
 from stratagate.session import settle, written
 
@@ -106,6 +106,25 @@ def _matrix(column: pa.Array, words: int) -> np.ndarray:
     return np.frombuffer(joined, np.uint8).reshape(-1, 8 * words)
 
 
+def summed_lines(lines: DataFrame) -> dict[int, np.ndarray]:
+    """Sums of the lines (i, line) of int64 with the same i."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, line in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                sums[i] = sums.get(i, 0) + np.frombuffer(line, np.int64)
+        lines = [x.tobytes() for x in sums.values()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int32()), pa.array(lines, pa.binary())], ["i", "line"]
+        )
+
+    summed = lines.repartition(task_count(lines.sparkSession), "i").mapInArrow(
+        add, "i int, line binary"
+    )
+    return {r["i"]: np.frombuffer(bytes(r["line"]), np.int64) for r in summed.collect()}
+
+
 def bit_statistics(distinct: DataFrame, words: int) -> tuple[int, np.ndarray]:
     """Number of fingerprints and how often two bits are set together, over all."""
     size = 64 * words
@@ -122,21 +141,7 @@ def bit_statistics(distinct: DataFrame, words: int) -> tuple[int, np.ndarray]:
                 [pa.array(range(size + 1), pa.int32()), pa.array(lines, pa.binary())], ["i", "line"]
             )
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for i, line in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                sums[i] = sums.get(i, 0) + np.frombuffer(line, np.int64)
-        lines = [x.tobytes() for x in sums.values()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int32()), pa.array(lines, pa.binary())], ["i", "line"]
-        )
-
-    lines = distinct.select("fp").mapInArrow(count, "i int, line binary")
-    summed = lines.repartition(task_count(distinct.sparkSession), "i").mapInArrow(
-        add, "i int, line binary"
-    )
-    found = {r["i"]: np.frombuffer(bytes(r["line"]), np.int64) for r in summed.collect()}
+    found = summed_lines(distinct.select("fp").mapInArrow(count, "i int, line binary"))
     if not found:
         return 0, np.zeros((size, size), dtype=np.int64)
     return int(found[size][0]), np.stack([found[i] for i in range(size)])
@@ -273,25 +278,28 @@ def _group_links(keys: np.ndarray, fps: np.ndarray, radius: int) -> list[tuple[i
     return links
 
 
+def in_blocks(rows: DataFrame, key: str, name: str, columns: list[str]) -> DataFrame:
+    """(key, a, b) and columns: a key of many rows is cut into pairs of blocks."""
+    hot = settle(rows.groupBy(key).count().where(F.col("count") > BLOCK))
+    if hot.isEmpty():
+        return rows.select(key, F.lit(0).alias("a"), F.lit(0).alias("b"), *columns)
+    # each row meets every block of its value once
+    blocks = F.coalesce(F.ceil(F.col("count") / BLOCK), F.lit(1)).cast("int")
+    own = F.pmod(F.xxhash64(name), blocks).cast("int")
+    other = F.explode(F.sequence(F.lit(0), blocks - 1))
+    met = rows.join(hot, key, "left").select(key, own.alias("_own"), other.alias("_other"), *columns)
+    return met.select(
+        key, F.least("_own", "_other").alias("a"), F.greatest("_own", "_other").alias("b"), *columns
+    )
+
+
 def verified_links(rows: DataFrame, words: int, radii: Sequence[int]) -> DataFrame:
     """(u, v, within): forest links between different fingerprints that share a key.
 
     For each radius, a forest of the links within it.
     """
     spark = rows.sparkSession
-    hot = settle(rows.groupBy("key").count().where(F.col("count") > BLOCK))
-    if hot.isEmpty():
-        grouped = rows.select("key", F.lit(0).alias("a"), F.lit(0).alias("b"), "fp")
-    else:
-        # each row meets every block of its value once
-        blocks = F.coalesce(F.ceil(F.col("count") / BLOCK), F.lit(1)).cast("int")
-        own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
-        other = F.explode(F.sequence(F.lit(0), blocks - 1))
-        grouped = (
-            rows.join(hot, "key", "left")
-            .select("key", own.alias("_own"), other.alias("_other"), "fp")
-            .select("key", F.least("_own", "_other").alias("a"), F.greatest("_own", "_other").alias("b"), "fp")
-        )
+    grouped = in_blocks(rows, "key", "fp", ["fp"])
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, fps = np.zeros((0, 3), np.int64), np.zeros((0, words), np.uint64)
@@ -357,56 +365,198 @@ def near_duplicates(
     )
 
 
-#: For whole-document similarity: words of 64 bits, radius of certain recall, parts.
-WIDE_WORDS, WIDE_RADIUS, WIDE_PARTS = 8, 31, 32
-#: Bits within which texts are surely similar, and beyond which surely not.
-SURE, DOUBTFUL = 40, 88
-SIMILARITY, SIMILAR_SHINGLE = 0.8, 5
+#: Texts are similar when (OVER + UNDER) * shared >= OVER * (one + other): a Jaccard
+#: similarity of 0.8 of their distinct shingles.
+OVER, UNDER, SIMILAR_SHINGLE = 4, 5, 5
+#: Counters that tell common shingles from rare ones, and how many travel as one row.
+COUNTERS, COUNTER_BLOCK = 1 << 20, 1 << 14
+
+
+def gram_set(text: bytes | None) -> np.ndarray:
+    """Sorted distinct hashes of the five-word shingles of a text in lower case."""
+    lower = (text or b"").decode("utf-8", "replace").lower().encode()
+    hashes = shingle_hashes(lower, SIMILAR_SHINGLE)
+    if not len(hashes):  # texts without words equal each other
+        hashes = np.array([xxhash.xxh64_intdigest(b"", SEED)], dtype=np.uint64)
+    return np.unique(hashes)
+
+
+def commonness(texts: DataFrame) -> np.ndarray:
+    """Level of each counter: shingles that many texts hold have a high one."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(COUNTERS, dtype=np.int64)
+        for piece in slices(batches):
+            held = np.concatenate([gram_set(t) for t in text_bytes(piece.column(0))])
+            counts += np.bincount((held % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+        lines = [x.tobytes() for x in counts.reshape(-1, COUNTER_BLOCK)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(len(lines)), pa.int32()), pa.array(lines, pa.binary())], ["i", "line"]
+        )
+
+    found = summed_lines(texts.select("text").mapInArrow(count, "i int, line binary"))
+    if not found:
+        return np.zeros(COUNTERS, dtype=np.uint8)
+    counts = np.concatenate([found[i] for i in range(COUNTERS // COUNTER_BLOCK)])
+    return np.round(4 * np.log2(1 + counts)).astype(np.uint8)
+
+
+def prefixes(texts: DataFrame, levels: np.ndarray) -> DataFrame:
+    """(token, node, size, pos): the shingles of which similar texts share one.
+
+    All texts order their shingles alike, rare ones first; any order will do. Of n
+    shingles, all but n - ceil(0.8 n) + 1 can be left out: texts that share none of
+    these are not similar.
+    """
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches):
+            tokens, sizes, used = [], [], []
+            for text in text_bytes(piece.column(1)):
+                own = gram_set(text)
+                order = np.argsort(levels[own % np.uint64(COUNTERS)], kind="stable")
+                need = -(-OVER * len(own) // UNDER)
+                tokens.append(own[order[: len(own) - need + 1]].view(np.int64))
+                sizes.append(len(own))
+                used.append(len(tokens[-1]))
+            row = np.repeat(np.arange(len(used)), used)
+            pos = np.concatenate([np.arange(n, dtype=np.int32) for n in used])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(tokens)),
+                    piece.column(0).take(pa.array(row)),
+                    pa.array(np.array(sizes, dtype=np.int32)[row]),
+                    pa.array(pos),
+                ],
+                ["token", "node", "size", "pos"],
+            )
+
+    return texts.select("_row", "text").mapInArrow(send, "token long, node long, size int, pos int")
 
 
-def _gram_set(text: Column, size: int) -> Column:
-    """Distinct hashes of the word shingles of a text."""
-    words = F.filter(F.split(F.lower(text), "[ \\t-\\r]+", -1), lambda w: w != "")
+def _possible(size: np.ndarray, pos: np.ndarray, other: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether texts can be similar whose first shared shingle stands at these places.
+
+    Similar texts pass at the first shingle that they share.
+    """
+    return (OVER + UNDER) * np.minimum(size - pos, other - at) >= OVER * (size + other)
 
-    def of(ws: Column) -> Column:
-        few = F.array(F.xxhash64(F.array_join(ws, " ")))
-        runs = F.transform(ws, lambda w, i: F.xxhash64(w, *[F.get(ws, i + k) for k in range(1, size)]))
-        many = F.array_distinct(F.slice(runs, 1, F.greatest(F.size(ws) - (size - 1), F.lit(1))))
-        return F.when(F.size(ws) < size, few).otherwise(many)
 
-    return let(words, of)
+def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[np.ndarray]:
+    """Rows of long columns, cut only where the first ``keys`` columns change."""
+    held = None
+    for batch in batches:
+        new = np.stack([c.to_numpy().astype(np.int64) for c in batch.columns], axis=1)
+        held = new if held is None else np.concatenate([held, new])
+        differs = np.flatnonzero((held[:, :keys] != held[-1:, :keys]).any(axis=1))
+        cut = int(differs[-1]) + 1 if len(differs) else 0
+        if cut:
+            yield held[:cut]
+            held = held[cut:]
+    if held is not None and len(held):
+        yield held
 
 
-def similar_links(docs: DataFrame, marked: DataFrame, distinct: DataFrame) -> DataFrame:
-    """(u, v): links between fingerprints of texts that are similar enough.
+def shared_tokens(rows: DataFrame) -> DataFrame:
+    """Prefix rows whose token several texts hold.
 
-    A wide fingerprint finds candidates: similar texts agree on some part of it.
-    Links in the doubtful range are decided by the Jaccard similarity of the texts'
-    five-word shingles.
+    ``before`` is the text before it in the order of sizes if both can be similar:
+    links of neighbours join most of what is similar, at the cost of one each.
     """
-    links = link_fingerprints(
-        distinct, WIDE_RADIUS, (WIDE_PARTS,), WIDE_WORDS, radii=(SURE, DOUBTFUL)
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in _runs(batches, 1):
+            same = found[1:, 0] == found[:-1, 0]
+            kept = np.r_[False, same] | np.r_[same, False]
+            close = same & _possible(found[1:, 1], found[1:, 3], found[:-1, 1], found[:-1, 3])
+            before = pa.array(np.r_[found[:1, 2], found[:-1, 2]], mask=~np.r_[False, close])
+            kinds = (np.int64, np.int32, np.int64, np.int32)
+            columns = [pa.array(found[kept, k].astype(kind)) for k, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, before.filter(pa.array(kept))], ["token", "size", "node", "pos", "before"]
+            )
+
+    return (
+        rows.select("token", "size", "node", "pos")
+        .repartition(task_count(rows.sparkSession), "token")
+        .sortWithinPartitions("token", "size", "node")
+        .mapInArrow(of, "token long, size int, node long, pos int, before long")
     )
-    links = settle(links)
-    doubtful = links.where(F.col("within") > SURE).select("u", "v")
-    ends = doubtful.select(F.col("u").alias("fp")).union(doubtful.select("v")).distinct()
-    # one row stands for each fingerprint
-    named = marked.join(ends, "fp", "left_semi").groupBy("fp").agg(F.min("_row").alias("_row"))
-    named = broadcast_if_small(settle(named))
-    texts = docs.select(row_key(), F.coalesce("text", F.lit("")).alias("_text")).join(named, "_row")
-    sets = written(
-        texts.dropDuplicates(["fp"]).select("fp", _gram_set(F.col("_text"), SIMILAR_SHINGLE).alias("set")),
-        "shingle-sets",
+
+
+def pairs_between(rows: DataFrame) -> DataFrame:
+    """(u, v): texts of different groups that share a token and can be similar."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in _runs(batches, 3):
+            differs = (found[1:, :3] != found[:-1, :3]).any(axis=1)
+            starts = np.flatnonzero(np.r_[True, differs])
+            for start, stop in zip(starts, np.r_[starts[1:], len(found)], strict=True):
+                _, _, _, size, node, pos, group = found[start:stop].T
+                if (group == group[0]).all():
+                    continue
+                for i in range(len(node) - 1):
+                    last = np.searchsorted(size, UNDER * size[i] // OVER, "right")
+                    rest = slice(i + 1, last)
+                    close = _possible(size[i], pos[i], size[rest], pos[rest]) & (group[rest] != group[i])
+                    met = node[rest][close]
+                    if len(met):
+                        one = np.full(len(met), node[i])
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.minimum(one, met)), pa.array(np.maximum(one, met))], ["u", "v"]
+                        )
+
+    columns = ["token", "a", "b", "size", "node", "pos", "group"]
+    return (
+        in_blocks(rows, "token", "node", columns[3:])
+        .select(*columns)
+        .repartition(task_count(rows.sparkSession), "token", "a", "b")
+        .sortWithinPartitions("token", "a", "b", "size", "node")
+        .mapInArrow(of, "u long, v long")
+        .distinct()
     )
-    one = sets.select(F.col("fp").alias("u"), F.col("set").alias("_a"))
-    other = sets.select(F.col("fp").alias("v"), F.col("set").alias("_b"))
+
+
+def similar_pairs(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of some (u, v), named by their rows, whose texts are similar."""
+    pairs = settle(pairs)
+    ends = pairs.select(F.col("u").alias("_row")).union(pairs.select("v")).distinct()
+    ends = broadcast_if_small(settle(ends))
+    texts = docs.select(row_key(), "text").join(ends, "_row", "left_semi").dropDuplicates(["_row"])
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in slices(batches):
+            sets = [gram_set(t).view(np.int64) for t in text_bytes(rows.column(1))]
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(0), pa.array(sets, pa.list_(pa.int64()))], ["_row", "set"]
+            )
+
+    sets = written(texts.mapInArrow(of, "_row long, set array<long>"), "shingle-sets")
+    one = sets.select(F.col("_row").alias("u"), F.col("set").alias("_a"))
+    other = sets.select(F.col("_row").alias("v"), F.col("set").alias("_b"))
     shared = F.size(F.array_intersect("_a", "_b"))
-    decided = (
-        doubtful.join(one, "u")
+    return settle(
+        pairs.join(one, "u")
         .join(other, "v")
-        .where(shared >= SIMILARITY * (F.size("_a") + F.size("_b") - shared))
+        .where((OVER + UNDER) * shared >= OVER * (F.size("_a") + F.size("_b")))
+        .select("u", "v")
     )
-    return links.where(F.col("within") <= SURE).select("u", "v").unionByName(decided.select("u", "v"))
+
+
+def similar_links(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(u, v): links that connect all similar texts; every link is decided exactly.
+
+    First neighbours under a shared shingle are compared. Then what their links
+    leave in different groups is compared with all it shares a shingle with, so
+    that a large group never costs all its pairs.
+    """
+    rows = written(shared_tokens(prefixes(texts, commonness(docs))), "shared-shingles")
+    near = rows.where(F.col("before").isNotNull())
+    near = near.select(F.least("node", "before").alias("u"), F.greatest("node", "before").alias("v"))
+    first = similar_pairs(docs, near.distinct())
+    roots = broadcast_if_small(settle(components(first)))
+    grouped = rows.join(roots, "node", "left").withColumn("group", F.coalesce("root", "node"))
+    return first.unionByName(similar_pairs(docs, pairs_between(grouped)))
 
 
 def row_key() -> Column:
@@ -418,25 +568,30 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates, that of the least doc_id.
 
     Groups are chained: texts are linked at a Jaccard similarity of 0.8 or more of
-    their five-word shingles. Equal rows count as one. Columns are kept.
+    their distinct five-word shingles. Equal rows count as one. Columns are kept.
     """
     keyed = docs.select("doc_id", "text", row_key())
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches):
-            found = [
-                fingerprint(shingle_hashes(t, 3), WIDE_WORDS) for t in text_bytes(rows.column(1))
-            ]
+            found = [xxhash.xxh3_128_digest(gram_set(t).tobytes()) for t in text_bytes(rows.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0), rows.column(2), pa.array(found, pa.binary())], ["doc_id", "_row", "fp"]
             )
 
+    # texts of equal sets share fp, and the least of their rows stands for them
     marked = written(keyed.mapInArrow(of, "doc_id long, _row long, fp binary"), "fingerprints")
-    distinct = settle(marked.select("fp").distinct())
-    roots = components(similar_links(docs, marked, distinct))
-    grouped = marked.join(roots, marked["fp"] == roots["node"], "left").select(
-        "doc_id", "_row", F.coalesce("root", "fp").alias("root")
+    named = settle(marked.groupBy("fp").agg(F.min("_row").alias("node"), F.count(F.lit(1)).alias("n")))
+    several = named.where("n > 1")
+    copies = broadcast_if_small(settle(marked.join(several, "fp", "left_semi").select("_row").distinct()))
+    stand = broadcast_if_small(settle(several.select(F.col("node").alias("_row"))))
+    texts = keyed.select("_row", "text")
+    texts = texts.join(copies, "_row", "left_anti").unionByName(
+        texts.join(stand, "_row", "left_semi").dropDuplicates(["_row"])
     )
+    roots = components(similar_links(docs, texts))
+    rooted = named.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("root"))
+    grouped = marked.join(rooted, "fp").select("doc_id", "_row", "root")
     grouped = written(grouped, "groups")
     order = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "_row")
     winners = grouped.groupBy("root").agg(F.min(order).alias("_best"))

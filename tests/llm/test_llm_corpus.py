@@ -166,6 +166,33 @@ def test_deduplicated_keeps_one_of_each_group(docs, texts):
     assert got.count(None) == 1
 
 
+def five_grams(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or {tuple(words)}
+
+
+def kept_by_force(rows):
+    runs = [five_grams(text) for _, text in rows]
+    roots = groups(len(rows), lambda i, j: len(runs[i] & runs[j]) >= 0.8 * len(runs[i] | runs[j]))
+    return sorted({root: rows[root][0] for root in roots}.values())
+
+
+@pytest.mark.parametrize("block", [20_000, 5])
+def test_links_behind_a_dissimilar_hub_are_found(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    rows, base = [], prose(100, 200).split()
+    for pair in range(60):  # texts near all others; only the two of a pair are similar
+        at = random.Random(pair).sample(range(2, 198, 5), 6)
+        for own in (at[:4], at[2:]):
+            words = list(base)
+            for i in own:
+                words[i] = f"new{pair}"
+            rows.append((len(rows), " ".join(words)))
+    expected = kept_by_force(rows)
+    assert len(expected) <= 60
+    assert sorted(r["doc_id"] for r in deduplicated(table(spark, rows)).collect()) == expected
+
+
 def removed_by_force(texts):
     data = [(t or "").encode() for _, t in texts]
     seen = Counter(b[p : p + 200] for b in data for p in range(len(b) - 199))
