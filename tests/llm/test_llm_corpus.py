@@ -193,6 +193,19 @@ def test_links_behind_a_dissimilar_hub_are_found(spark, monkeypatch, block):
     assert sorted(r["doc_id"] for r in deduplicated(table(spark, rows)).collect()) == expected
 
 
+def test_repeated_passages_count_once(spark):
+    rows = []
+    for i in range(10):
+        text, footer, passage = prose(200 + i, 300), prose(300 + i, 20), prose(400, 20)
+        rows += [(4 * i, text), (4 * i + 1, " ".join([text] + [footer] * 20))]  # similar
+        rows += [
+            (4 * i + 2 + k, " ".join([prose(500 + 2 * i + k, 150)] + [passage] * 80)) for k in range(2)
+        ]  # not similar
+    expected = kept_by_force(rows)
+    assert len(expected) == 30
+    assert sorted(r["doc_id"] for r in deduplicated(table(spark, rows)).collect()) == expected
+
+
 def removed_by_force(texts):
     data = [(t or "").encode() for _, t in texts]
     seen = Counter(b[p : p + 200] for b in data for p in range(len(b) - 199))
