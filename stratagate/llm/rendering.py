@@ -1,7 +1,7 @@
 """Layout-aware rendering of HTML pages to plain text.
 
-A page is read tag by tag into a tree: tags that HTML implies (ends of p, li, dt,
-dd, option, table cells, rows and sections; missing ends at the end of the page)
+A page is read tag by tag into a tree: tags that HTML implies (ends of head, p, li,
+dt, dd, option, table cells, rows and sections; missing ends at the end of the page)
 are supplied, ends that match nothing are dropped. Elements that are never shown
 (scripts, styles, head, templates, ``hidden``, ``display:none``,
 ``visibility:hidden``, ...) are left out; all other text is kept.
@@ -43,8 +43,23 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset(
     "head script style title template noscript iframe noembed noframes datalist object"
-    " audio video canvas svg math meta link param".split()
+    " audio video canvas meta link param".split()
 )
+#: Never shown inside svg and math.
+FOREIGN_UNSEEN = frozenset(
+    "desc metadata defs symbol clippath mask marker pattern annotation annotation-xml".split()
+)
+#: Start tags and elements that may stand in head; any other ends it.
+IN_HEAD = frozenset(
+    "html head base basefont bgsound link meta noframes noscript script style template title".split()
+)
+#: Start tags that end svg and math, unless an element there holds HTML.
+ENDS_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img"
+    " li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul"
+    " var".split()
+)
+_HOLDS_HTML = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
 BLOCK = frozenset(
     "html body address article aside blockquote center dd details dialog dir div dl dt"
     " fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr legend li"
@@ -99,8 +114,26 @@ class _Builder:
 
     def text(self, text: str) -> None:
         if text:
+            if text.strip(" \t\n\f\r"):
+                self._leave_head()
             self.open[-1].children.append(text)
 
+    def _leave_head(self) -> None:
+        """End a head that what follows may not stand in."""
+        if self.open[-1].name == "head":
+            self._pop()
+
+    def foreign(self) -> bool:
+        """Whether the element being filled belongs to svg or math."""
+        if not (self.counts.get("svg") or self.counts.get("math")):
+            return False
+        for node in reversed(self.open):
+            if node.name in ("svg", "math"):
+                return True
+            if node.name == "foreignobject":
+                return False
+        return False
+
     def _pop(self) -> None:
         node = self.open.pop()
         self.counts[node.name] -= 1
@@ -120,6 +153,13 @@ class _Builder:
                     return
 
     def start(self, name: str, attrs: dict[str, str], closed: bool) -> None:
+        if name not in IN_HEAD:
+            self._leave_head()
+        if name in ENDS_FOREIGN and self.foreign():
+            self._close({"svg", "math"}, _HOLDS_HTML)
+        foreign = self.foreign()
+        if foreign and name in FOREIGN_UNSEEN:
+            attrs = {**attrs, "hidden": ""}
         if name in ENDS_P:
             self._close({"p"}, _P_SCOPE)
         if name == "body":
@@ -128,7 +168,7 @@ class _Builder:
             self._close(*IMPLIED[name])
         node = Node(name, attrs)
         self.open[-1].children.append(node)
-        if name not in VOID and not (closed and name in ("svg", "path", "math")):
+        if name not in VOID and not (closed and (foreign or name in ("svg", "path", "math"))):
             self.open.append(node)
             self.counts[name] = self.counts.get(name, 0) + 1
 
@@ -165,8 +205,10 @@ def parse(page: str) -> Node:
             builder.end(name)
             continue
         attrs = found["attrs"]
-        builder.start(name, _attributes(attrs) if attrs.strip() else {}, attrs.endswith("/"))
-        if name in RAW:
+        closed = attrs.endswith("/")
+        empty = closed and name in RAW and builder.foreign()
+        builder.start(name, _attributes(attrs) if attrs.strip() else {}, closed)
+        if name in RAW and not empty:
             close = re.compile(rf"</{name}(?=[\s/>])[^>]*>?|\Z", re.I).search(page, at)
             raw = page[at : close.start()]
             builder.text(entities.unescape(raw) if name in ("textarea", "title") else raw)
@@ -182,7 +224,7 @@ def _unseen(node: Node) -> bool:
     attrs = node.attrs
     if not attrs:
         return False
-    if "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true":
+    if "hidden" in attrs:
         return True
     if node.name == "dialog" and "open" not in attrs:
         return True

@@ -292,6 +292,25 @@ def test_languages(spark, docs, empty):
     assert languages(empty.selectExpr("*", "'en' AS lang")).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<html><head><title>t</title><p>text", "text"),
+        ("<head><meta charset=utf-8><script>x</script> plain <b>text</b>", "plain text"),
+        ("<head><title>t</title><template>no<p>no</template><div>a</div></head>b", "a\nb"),
+        ("<head><style>p{}</style><noscript><link rel=x></noscript></head><body>a", "a"),
+        ("a<head>b", "ab"),
+        ('<p>a <span aria-hidden="true">b</span>', "a b"),
+        ("<p>x <math><mi>y</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math>", "x y=2"),
+        ("<svg><title>no</title><defs><text>no</text></defs><desc/><text>label</text></svg> a", "label a"),
+        ("<svg><style/><text>b</text></svg>", "b"),
+        ("<svg><defs><path/><p>out", "out"),
+    ],
+)
+def test_rendering_keeps_all_visible_text(page, text):
+    assert render(page) == text
+
+
 def test_rendering(spark):
     page = """<!DOCTYPE html><head><title>x</title><style>p{}</style></head><body><h1>A &amp; B</h1>
 <p>one<p class=a">two <b>bold</b> x<br>y</p><ul><li>a<li>b<ol start=3><li>c<li>d</ol><li>e</ul>
