@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratagate.llm.archive import archive_pages
 from stratagate.llm.decontaminate import contamination
+from stratagate.llm.fingerprints import fingerprints
 from stratagate.llm.langid import languages
 from stratagate.llm.packing import pack_documents
 from stratagate.llm.pii import personal_data
@@ -90,3 +91,8 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
