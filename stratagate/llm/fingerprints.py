@@ -166,9 +166,13 @@ def _in_ranges(rows: DataFrame) -> DataFrame:
     """
     spark = rows.sparkSession
     ranges = min(MOST_RANGES, RANGES_PER_TASK * task_count(spark))
-    keys = rows.select("_key").orderBy(F.xxhash64("_key")).limit(ranges * SAMPLED_PER_RANGE)
-    sample = sorted(((r[0][0] is not None, *r[0]) for r in keys.collect()), key=lambda k: (k[0], k[1] or 0, *k[2:]))
-    picked = list(dict.fromkeys(sample[i * len(sample) // ranges] for i in range(1, ranges))) if sample else []
+    # about so many rows by a hash that differs between repeated rows too
+    share = min(1.0, ranges * SAMPLED_PER_RANGE / max(1, rows.count()))
+    keys = rows.select("_key").where(F.pmod(F.xxhash64("_key"), F.lit(1 << 31)) <= int(share * (1 << 31)))
+    sample = sorted(
+        ((r[0][0] is not None, *r[0]) for r in keys.collect()), key=lambda k: (k[0], k[1] or 0, *k[2:])
+    )
+    picked = list(dict.fromkeys(sample[i * len(sample) // ranges] for i in range(1, ranges) if sample))
     # at most MOST_RANGES bounds, a literal of the plan
     listed = json.dumps([dict(zip(("doc_id", "h", "row"), p[1:], strict=True)) for p in picked])
     bounds = F.from_json(F.lit(listed), f"array<{_KEY}>")

@@ -13,6 +13,7 @@ from stratagate.llm.fingerprints import fingerprints
 from stratagate.llm.langid import languages
 from stratagate.llm.packing import pack_documents
 from stratagate.llm.pii import personal_data
+from stratagate.llm.prefix_trie import prefix_trie
 from stratagate.llm.quality import judge
 from stratagate.llm.rendering import rendered
 from stratagate.llm.repeats import remove_repeats
@@ -96,3 +97,60 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
+
+
+# CRC-32 bit by bit; a node's key is the chain of its turns' hashes
+ORACLES["op12_trie"] = """
+WITH RECURSIVE said AS (
+  SELECT conv_id, turn, coalesce(text, '') AS text,
+         sha256(concat_ws(':', length(coalesce(role, '')), coalesce(role, ''), coalesce(text, ''))) AS digest
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, substr(digest, 1, 32)) AS place
+  FROM said
+), convs AS (
+  SELECT DISTINCT conv_id, conv_id - conv_id % 100 AS base FROM own
+), bits AS (
+  SELECT conv_id, CAST(conv_id AS VARCHAR) AS digits, 0 AS i, CAST(4294967295 AS BIGINT) AS v FROM convs
+  UNION ALL
+  SELECT conv_id, digits, i + 1,
+         xor((CASE WHEN i % 8 = 0 THEN xor(v, CAST(ascii(substr(digits, i // 8 + 1, 1)) AS BIGINT)) ELSE v END) >> 1,
+             3988292384 * ((CASE WHEN i % 8 = 0 THEN xor(v, CAST(ascii(substr(digits, i // 8 + 1, 1)) AS BIGINT)) ELSE v END) & 1))
+  FROM bits WHERE i < 8 * length(digits)
+), grafted AS (
+  SELECT conv_id, base, xor(v, CAST(4294967295 AS BIGINT)) % 6 AS h
+  FROM bits JOIN convs USING (conv_id) WHERE i = 8 * length(digits)
+), rebuilt AS (
+  SELECT g.conv_id, o.place, o.digest, o.text FROM grafted g JOIN own o ON o.conv_id = g.base AND o.place <= g.h
+  UNION ALL
+  SELECT g.conv_id, 1000 + o.place, o.digest, o.text FROM grafted g JOIN own o ON o.conv_id = g.conv_id AND o.place > g.h
+), chained AS (
+  SELECT conv_id, length(text) AS tokens,
+         string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY place ROWS UNBOUNDED PRECEDING) AS key,
+         count(*) OVER (PARTITION BY conv_id) AS n
+  FROM rebuilt
+), members AS (
+  SELECT conv_id, tokens, key, n FROM chained
+  UNION ALL
+  SELECT conv_id, 0, '', (SELECT count(*) FROM rebuilt r WHERE r.conv_id = convs.conv_id) FROM convs
+), node AS (
+  SELECT key, length(key) // 64 AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * max(tokens) AS saved,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = length(key) // 64), '')) AS ends_sha256
+  FROM members GROUP BY key
+), linked AS (
+  SELECT a.*, p.conv_id AS parent_conv_id,
+         (SELECT count(*) FROM node c WHERE c.depth = a.depth + 1 AND starts_with(c.key, a.key)) AS n_children
+  FROM node a LEFT JOIN node p ON p.depth = a.depth - 1 AND p.key = substr(a.key, 1, 64 * (a.depth - 1))
+)
+SELECT v.conv_id, v.depth, v.parent_conv_id, v.n_convs, v.n_children,
+       count(*) FILTER (u.n_children = 0) AS n_leaves,
+       CAST(sum(u.saved) AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM linked v JOIN linked u ON starts_with(u.key, v.key)
+GROUP BY v.conv_id, v.depth, v.parent_conv_id, v.n_convs, v.n_children, v.ends_sha256
+"""
+
+
+@query
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
