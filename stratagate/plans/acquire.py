@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from stratagate import vocabulary as v
 from stratagate.operators import checks, runlog
 from stratagate.plans.runs import Run, attempt, history
-from stratagate.session import settle
 from stratagate.sinks.store import Store
 from stratagate.sources.landing import landing_manifest, publication_fingerprint, select_parts
 
@@ -45,7 +44,7 @@ def acquire(
             run.values["resultado"] = v.EXISTING
             run.values["id_execucao_origem"] = before.id_execucao
             return run
-        manifest = settle(landing_manifest(store.spark, folder, folder))
+        manifest = landing_manifest(store.spark, folder, folder)
         wanted = store.spark.createDataFrame([(d,) for d in declared], "part string")
         problems = [checks.landed(wanted, manifest)]
         if before is not None:

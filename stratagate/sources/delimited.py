@@ -20,7 +20,13 @@ PART = "_part"
 _AUTHORITY = re.compile("^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?")
 
 
-def source_part(folder: str, split: bool = False) -> Column:
+def path_of(file: Column | str) -> Column:
+    """A file's path as it was given, without the encoding of file metadata."""
+    # '+' stands for itself in a path; only %XX sequences are encoded
+    return F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B")))
+
+
+def source_part(folder: str, split: bool = False, file: str = "_metadata.file_path") -> Column:
     """File path below the delivery folder, with percent-encoding undone.
 
     With ``split`` a part is a folder of files, and its name is the first level.
@@ -29,9 +35,7 @@ def source_part(folder: str, split: bool = False) -> Column:
     # a relative folder may start anywhere
     start = "^/" if place.startswith("/") else "/"
     below = start + re.escape(place.strip("/")) + ("/+([^/]+)/" if split else "/+(.+)$")
-    # '+' stands for itself in a path; only %XX sequences are encoded
-    path = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
-    return F.regexp_extract(F.regexp_replace(path, _AUTHORITY.pattern, ""), below, 1)
+    return F.regexp_extract(F.regexp_replace(path_of(file), _AUTHORITY.pattern, ""), below, 1)
 
 
 def literal_path(path: str) -> str:

@@ -7,24 +7,17 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratagate.sources.delimited import source_part
+from stratagate.sources.delimited import path_of, source_part
+from stratagate.sources.digest import file_digests
 
 
 def landing_manifest(spark: SparkSession, path: str, folder: str) -> DataFrame:
-    """Part, path, size and SHA-256 of every landed file.
+    """Part, path, size and SHA-256 of every landed file, empty ones too.
 
-    Every file goes through the session's own reader, whatever its store. A file
-    is one row, so the reader's limit of 2 GiB per file holds; it refuses larger
-    ones by name.
+    Files of any size go through the session's own readers, whatever their store.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .withColumn("part", source_part(folder))
-    )
-    return files.select(
-        "part", "path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")
+    return file_digests(spark, path).select(
+        source_part(folder, file="file").alias("part"), path_of("file").alias("path"), "bytes", "sha256"
     )
 
 

@@ -201,6 +201,34 @@ def landing_manifest(spark, sf_dir):
     )
 
 
+LANDED = """
+SELECT o_orderkey AS k, 'bucket-' || CAST(CAST(floor(o_orderkey / 5000) AS BIGINT) AS STRING) AS source_part,
+       CAST(o_orderkey AS STRING) || ';' || o_orderstatus || ';' || o_orderpriority || ';"é"'
+       || CASE WHEN o_orderkey % 3 = 0 THEN ';' ELSE '' END
+       || CASE WHEN floor(o_orderkey / 5000) % 2 = 1 THEN chr(13) ELSE '' END AS value
+FROM orders
+"""
+
+
+@query(
+    "landed_digests",
+    f"""SELECT source_part, CAST(sum(octet_length(encode(value)) + 1) AS BIGINT) AS bytes,
+               sha256(string_agg(value || chr(10), '' ORDER BY k)) AS sha256
+        FROM ({LANDED}) GROUP BY source_part""",
+)
+def landed_digests(spark, sf_dir):
+    """Size and hash of files in a known order, one per range of orders."""
+    lines = from_sql(spark, sf_dir, LANDED)
+    folder = new_folder(spark, "landed")
+    lines.repartition("source_part").sortWithinPartitions("source_part", "k").select(
+        "value", "source_part"
+    ).write.partitionBy("source_part").text(folder)
+    files = landing.landing_manifest(spark, folder, folder)
+    return files.select(
+        F.regexp_extract("part", "^source_part=([^/]+)/part-", 1).alias("source_part"), "bytes", "sha256"
+    ).where("source_part <> ''")
+
+
 # ---------------------------------------------------------- totals
 
 

@@ -1,9 +1,11 @@
+import gzip
 import hashlib
 
 import pytest
 
 from stratagate.contract import Contract, Dialect, Field
 from stratagate.operators import checks, profile
+from stratagate.session import settings
 from stratagate.sources import delimited, landing
 from stratagate.sources.delimited import LINE, PART
 
@@ -82,6 +84,38 @@ def test_manifest_hashes(spark, tmp_path):
         assert {f.part: (f.bytes, f.sha256) for f in files} == expected
 
 
+def test_digests_of_every_kind_of_file(spark, tmp_path):
+    lines = b"".join(b"%d;caf\xe9;\r\n" % i for i in range(60_000))
+    contents = {
+        "latin.csv": lines,
+        "open_end.csv": lines[:-2] + b"x",
+        "marked.csv": b"\xef\xbb\xbf" + lines,
+        "marked_open.csv": b"\xef\xbb\xbfone;two",
+        "mark.csv": b"\xef\xbb\xbf",
+        "empty file.csv": b"",
+        "blank.csv": b"\n\n\r\n",
+        "one_lf.csv": b"\n",
+        "one_line.csv": b"\x00\xff" * 400_000,
+        "not_really.gz": lines[:1000],
+        "packed.csv.GZ": gzip.compress(lines),
+        "sub/binary": bytes(range(256)) * 2000,
+    }
+    for name, data in contents.items():
+        write(tmp_path / name.rpartition("/")[0], name.rpartition("/")[2], data)
+    # many splits of each file
+    with settings(spark, spark__sql__files__maxPartitionBytes="100000"):
+        files = landing.landing_manifest(spark, str(tmp_path), str(tmp_path)).collect()
+    assert {f.part: (f.path.split(":")[-1], f.bytes, f.sha256) for f in files} == {
+        name: (f"{tmp_path}/{name}", len(data), hashlib.sha256(data).hexdigest()) for name, data in contents.items()
+    }
+
+
+def test_digests_of_no_files(spark, tmp_path):
+    write(tmp_path, "empty.csv", b"")
+    files = landing.landing_manifest(spark, str(tmp_path), str(tmp_path)).collect()
+    assert [(f.part, f.bytes, f.sha256) for f in files] == [("empty.csv", 0, hashlib.sha256(b"").hexdigest())]
+
+
 def test_odd_names_and_uris(spark, tmp_path):
     for name in ("a[1].csv", "b {2}.csv", "c+%20?.csv"):
         write(tmp_path, name, f"{name};1;2\n")
