@@ -15,6 +15,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,14 +44,16 @@ def _packed_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         return pa.RecordBatch.from_pylist([row], schema=_CHUNKS)
 
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("file", "size", "start", "line"))
-        for file, whole, start, line in zip(*columns, strict=True):
-            if split != (file, whole, start):
+        for here in _by_split(batch):
+            first = tuple(here.column(c)[0].as_py() for c in ("file", "size", "start"))
+            if split != first:
                 if held:
                     yield chunk()
-                split, number, held, size = (file, whole, start), 0, [], 0
-            held += (line, b"\n")
-            size += len(line) + 1
+                split, number, held, size = first, 0, [], 0
+            lines = pa.ListArray.from_arrays([0, here.num_rows], here.column("line"))
+            joined = pc.binary_join(lines, b"\n")[0].as_py()
+            held += (joined, b"\n")
+            size += len(joined) + 1
             if size >= CHUNK:
                 yield chunk()
                 number, held, size = number + 1, [], 0
@@ -58,6 +61,18 @@ def _packed_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield chunk()
 
 
+def _by_split(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, in order, by the split they were read from."""
+    ends = batch.slice(0, 1), batch.slice(batch.num_rows - 1)
+    if batch.num_rows < 2 or ends[0].select(["file", "start"]) == ends[1].select(["file", "start"]):
+        # splits follow each other, so nothing else is in between
+        yield from [batch] if batch.num_rows else []
+        return
+    half = batch.num_rows // 2
+    yield from _by_split(batch.slice(0, half))
+    yield from _by_split(batch.slice(half))
+
+
 class _State:
     """Hash of one file, with and without a byte order mark before it."""
 
