@@ -2,38 +2,68 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stratagate import vocabulary as v
 from stratagate.contract import Contract
-from stratagate.operators import profile, references
+from stratagate.operators import checks, profile, references, runlog
 from stratagate.operators.checks import PublicationBlocked
 from stratagate.operators.upsert import catalog_sync
-from stratagate.plans.runs import Run, attempt, new_run_id
-from stratagate.session import settle, written
+from stratagate.plans.acquire import fingerprint_of, manifest_of
+from stratagate.plans.runs import Run, attempt, history, new_run_id
 from stratagate.sinks.store import Store
 from stratagate.sources import delimited
+from stratagate.sources.delimited import path_of
+from stratagate.sources.landing import matches, select_parts
 
 
-def inspect_delivery(
-    store: Store, contract: Contract, period: str, paths: Sequence[str], folder: str
-) -> Run:
-    """Compare the physical files with the contract and log the verdict."""
+def require_period(store: Store, identifier: str, period: str) -> None:
+    asked = store.spark.createDataFrame(
+        [(identifier, period)], "identificador string, competencia string"
+    )
+    checks.require(checks.period_format(asked))
+
+
+def inspect_delivery(store: Store, contract: Contract, period: str) -> Run:
+    """Compare the files of the period's acquisition with the contract.
+
+    The log names the acquisition, its fingerprint, the verdict and the folder of the
+    report: one row per part (``parts``), their ``widths``, ``samples`` and
+    ``problems``. Blank parts are in it; parts without a file never are.
+    """
     spark = store.spark
     with attempt(store, v.INSPECTION, contract.identifier, period, contract) as run:
-        lines = delimited.scan_lines(spark, paths, folder)
-        first = settle(delimited.first_lines(spark, paths, folder, contract.dialect.encoding))
-        found = profile.part_problems(
-            lines, profile.byte_lines(spark, paths, folder), first, contract
+        require_period(store, contract.identifier, period)
+        acquired = runlog.latest_acquisition(history(store, contract.base_identifier)).where(
+            F.col("competencia") == period
+        )
+        source = acquired.first()
+        if source is None:
+            raise PublicationBlocked(f"no acquisition of {contract.base_identifier} for {period}")
+        selected = select_parts(manifest_of(acquired), contract.file_pattern)
+        run.values["id_execucao_origem"] = source.id_execucao
+        run.values["publication_fingerprint"] = fingerprint_of(selected)
+        folder = json.loads(source.detalhes)["pasta"]
+        # the reader takes the folder; names that the pattern leaves out are pruned
+        lines = profile.byte_lines(spark, folder, folder, contract.split_parts).where(
+            matches(path_of("file"), contract.file_pattern)
         )
-        # all of them stay in a table; the log says where, and how many there are
-        problems = written(found, "inspection")
-        result = profile.overall(profile.verdict(first, problems)).first()
+        survey = profile.Survey(lines, contract)
+        at = store.folder(f"{store.control}.inspecoes", run.id)
+        run.drafts.append(at)
+        tables = {"problems": survey.problems(), "widths": survey.widths(), "samples": survey.samples()}
+        for name, rows in tables.items():
+            rows.write.parquet(f"{at}/{name}")
+        problems = spark.read.parquet(f"{at}/problems")
+        survey.report(problems).write.parquet(f"{at}/parts")
+        result = profile.overall(spark.read.parquet(f"{at}/parts")).first()
+        run.drafts.clear()
         run.values["resultado"] = result.verdict
+        run.details["relatorio"] = at
         run.details["problemas_total"] = problems.count()
-        run.details["problemas_tabela"] = [f.rsplit("/", 1)[0] for f in problems.inputFiles()[:1]]
         shown = problems.orderBy(delimited.PART, "problem").limit(v.EXAMPLES)
         run.details["problemas"] = [f"{r[0]}: {r[1]}" for r in shown.collect()]
     return run
@@ -42,6 +72,7 @@ def inspect_delivery(
 def diagnose_references(store: Store, contract: Contract, period: str) -> Run:
     """Count codes without a match in their reference tables; never blocks rows."""
     with attempt(store, v.DIAGNOSIS, contract.identifier, period, contract) as run:
+        require_period(store, contract.identifier, period)
         table = f"{store.silver}.{contract.identifier}"
         if not store.exists(table):
             raise PublicationBlocked(f"no Silver table {table}")

@@ -13,7 +13,9 @@ from stratagate.contract import Contract
 from stratagate.operators import checks, quarantine, runlog
 from stratagate.operators.checks import PublicationBlocked
 from stratagate.operators.evaluate import evaluate
+from stratagate.plans.acquire import acquire
 from stratagate.plans.bronze import publish_bronze
+from stratagate.plans.inspect import inspect_delivery
 from stratagate.plans.publish import append_quarantine
 from stratagate.plans.silver import publish_silver, write_and_measure
 from stratagate.session import new_folder
@@ -78,6 +80,46 @@ def bronze_pipeline(spark, sf_dir):
     return spark.table(f"{store.bronze}.{DELIVERED.identifier}").drop(v.RUN_COL)
 
 
+INSPECTED = (
+    "_part", "terminator", "bom", "separator", "decodes_declared", "looks_utf8", "records", "other_width", "problems",
+    "verdict",
+)
+
+
+@query(
+    "inspection_report",
+    DELIVERY_CTE
+    + """,
+    marks AS (
+      SELECT source_part, m.pos, m.mark, length(line) - length(replace(line, m.mark, '')) AS n
+      FROM delivery, (VALUES (0, ';'), (1, ','), (2, '|'), (3, chr(9))) AS m(pos, mark)),
+    modes AS (SELECT source_part, pos, mark, n, count(*) AS lines FROM marks GROUP BY ALL),
+    stable AS (SELECT source_part, pos, mark, min(n) AS least, max(lines) AS lines FROM modes GROUP BY ALL HAVING min(n) > 0),
+    likely AS (
+      SELECT s.source_part, s.mark AS separator FROM stable s
+      JOIN modes m ON m.source_part = s.source_part AND m.pos = s.pos AND m.lines = s.lines
+      QUALIFY row_number() OVER (PARTITION BY s.source_part ORDER BY s.lines DESC, m.n DESC, s.pos) = 1),
+    parts AS (
+      SELECT source_part, count(*) AS records, count(*) FILTER (malformed) AS other_width,
+             CASE WHEN bool_or(crlf) AND (NOT bool_and(crlf) OR bool_or(malformed)) THEN 'mixed'
+                  WHEN bool_or(crlf) THEN 'CRLF' ELSE 'LF' END AS terminator
+      FROM delivery GROUP BY source_part)
+    SELECT 'source_part=' || source_part AS _part, terminator, false AS bom, separator, true AS decodes_declared,
+           false AS looks_utf8, records, CAST(other_width AS BIGINT) AS other_width,
+           CAST((other_width > 0) AS BIGINT) + CAST((separator <> ';') AS BIGINT) AS problems,
+           CASE WHEN other_width > 0 OR separator <> ';' THEN 'INCOMPATIVEL' ELSE 'COMPATIVEL' END AS verdict
+    FROM parts JOIN likely USING (source_part)""",
+)
+def inspection_report(spark, sf_dir):
+    """Report of an inspection, tied to the acquisition whose files it read."""
+    store = new_store(spark)
+    folder = delivered(spark, sf_dir)
+    acquired = acquire(store, DELIVERED.base_identifier, PERIOD, folder)
+    run = inspect_delivery(store, DELIVERED, PERIOD)
+    assert run.values["id_execucao_origem"] == acquired.id
+    return spark.read.parquet(f"{run.details['relatorio']}/parts").select(*INSPECTED)
+
+
 SILVER_SQL = (
     DELIVERY_CTE
     + """,

@@ -133,9 +133,19 @@ def test_known_period_is_not_landed_again(lake, tmp_path):
 
 
 def test_inspection_and_diagnosis(lake, tmp_path):
-    path = write(tmp_path / "in", "itens.csv", GOOD)
-    run = inspect_delivery(lake, ITEMS, "2026-09", [path], str(tmp_path / "in"))
+    write(tmp_path / "in", "itens.csv", GOOD)
+    write(tmp_path / "in", "other.txt", "not;of\nthis;entity\n")
+    with pytest.raises(PublicationBlocked, match="no acquisition"):
+        inspect_delivery(lake, ITEMS, "2026-09")
+    for plan in (inspect_delivery, diagnose_references):
+        with pytest.raises(PublicationBlocked, match="not YYYY-MM"):
+            plan(lake, ITEMS, "2026-13")
+    landed = acquire(lake, BASE, "2026-08", str(tmp_path / "in"))
+    run = inspect_delivery(lake, replace(ITEMS, file_pattern="itens*"), "2026-08")
     assert run.values["resultado"] == v.COMPATIBLE
+    assert run.values["id_execucao_origem"] == landed.id and run.values["publication_fingerprint"]
+    parts = lake.spark.read.parquet(f"{run.details['relatorio']}/parts").collect()
+    assert [(p._part, p.terminator, p.problems) for p in parts] == [("itens.csv", "LF", 0)]
     coded = replace(
         ITEMS,
         fields=(replace(ITEMS.fields[0], domain=Reference("org_base_codes", "codigo")), *ITEMS.fields[1:]),

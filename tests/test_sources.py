@@ -1,7 +1,9 @@
 import gzip
 import hashlib
+from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from stratagate.contract import Contract, Dialect, Field
 from stratagate.operators import checks, profile
@@ -168,6 +170,58 @@ def test_fingerprint_is_hash_of_sorted_lines(spark):
 # ------------------------------------------------------------- profile
 
 
+def survey(spark, folder, contract=ITEMS):
+    raw = profile.byte_lines(spark, str(folder), str(folder), contract.split_parts)
+    return profile.Survey(raw, contract)
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.select(*sorted(df.columns)).collect()), key=repr)
+
+
+@pytest.mark.parametrize("data", [
+    GOOD, DIRTY, GOOD.replace("\n", "\r\n"), GOOD.replace("\n", "\r"), "\ufeff" + GOOD, HEADER, HEADER + "\n \t\n\n",
+    GOOD.encode().replace(b"A\n", b"\xe9\n"), GOOD.replace(";", ","), GOOD + "1;2\r\n3;4;5;6;7\n", "\n",
+    HEADER + '"a;b";1;"x ""y""";3\nc;2;;4\nd;;z;5\nb;9;;\n',
+])
+def test_survey_tells_what_the_single_reports_tell(spark, tmp_path, data):
+    write(tmp_path, "itens.csv", data)
+    write(tmp_path / "sub", "more.csv", GOOD)
+    at, d = str(tmp_path), ITEMS.dialect
+    got, raw, lines = survey(spark, tmp_path), profile.byte_lines(spark, at, at), delimited.scan_lines(spark, at, at)
+    first = delimited.first_lines(spark, at, at)
+    assert rows_of(got.terminators()) == rows_of(profile.terminators(raw))
+    assert rows_of(got.encoding()) == rows_of(profile.encoding(raw, d.encoding, PART))
+    assert rows_of(got.separators()) == rows_of(profile.likely_separator(lines, PART))
+    assert rows_of(got.widths()) == rows_of(profile.widths(lines, d, PART))
+    assert rows_of(got.first()) == rows_of(first)
+    problems = profile.part_problems(lines, raw, first, ITEMS)
+    assert rows_of(got.problems()) == rows_of(problems)
+    rows = delimited.well_formed(delimited.scan_rows(spark, ITEMS, at, at))
+    columns = [f.name for f in ITEMS.source_fields]
+    told = {r[:2]: r[2] for r in rows_of(profile.samples(rows, columns, PART).select(F.col(PART).alias("a"), F.col("column").alias("b"), F.col("samples").alias("c")))}
+    kept = {r[:2]: r[2] for r in rows_of(got.samples().select(F.col(PART).alias("a"), F.col("column").alias("b"), F.col("samples").alias("c")))}
+    assert {k: x for k, x in kept.items() if x} == {k: x for k, x in told.items() if x}
+    report = got.report(problems)
+    assert {r[PART] for r in report.collect()} == {r[PART] for r in raw.select(PART).collect()}
+
+
+def test_survey_of_split_parts_and_scans(spark, tmp_path):
+    for i in range(3):
+        write(tmp_path / "one", f"f{i}.csv", "1;2;3\n" * (i + 1))
+    write(tmp_path / "two", "f.csv", "1;2;3\n4;5\n")
+    contract = replace(PLAIN, split_parts=True)
+    got = survey(spark, tmp_path, contract)
+    assert rows_of(profile.verdict(got.patterns.select(PART).distinct(), got.problems())) == [
+        ("one", 0, "COMPATIVEL"), ("two", 1, "INCOMPATIVEL"),
+    ]
+    assert got.widths().where(f"{PART} = 'one'").collect()[0].lines == 6
+    # reports read the survey's table, not the files; samples read them once more
+    files = lambda df: [f for f in df.inputFiles() if f.endswith(".csv")]
+    assert not any(files(df) for df in (got.terminators(), got.widths(), got.separators(), got.encoding(), got.problems()))
+    assert len(files(got.samples())) == 4
+
+
 def inspect(spark, folder, contract=ITEMS):
     at = str(folder)
     first = delimited.first_lines(spark, at, at)
@@ -217,8 +271,6 @@ def test_terminators(spark, tmp_path, data, kind, bom):
 
 
 def test_width_honours_quotes(spark):
-    from pyspark.sql import functions as F
-
     lines = ['a;b;c', '"a;b";c', '"a;""b;";c', 'a"b;c', '"";;', '"open;c', ""]
     df = spark.createDataFrame([(x,) for x in lines], "v string")
     got = [r[0] for r in df.select(profile.record_width(F.col("v"), Dialect())).collect()]
