@@ -38,10 +38,11 @@ def require(*found: DataFrame) -> None:
     All problems are kept in a table of the shared folder, which the message names
     with their number; it quotes as many as an error text holds.
     """
-    problems = written(all_problems(*found), "problems")
-    total = problems.count()
-    if not total:
+    every = all_problems(*found)
+    if every.isEmpty():
         return
+    problems = written(every, "problems")
+    total = problems.count()
     quoted, size = [], 0
     for p in problems.orderBy("check", "subject", "problem").limit(v.ERROR_CHARS).toLocalIterator():
         told = f"{p.check} {p.subject}: {p.problem}"

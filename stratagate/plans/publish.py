@@ -142,6 +142,5 @@ def publish(
         raise checks.PublicationBlocked("reconciliation: " + "; ".join(wrong))
     # from here on the folder is the table's
     run.drafts.clear()
-    store.point(table, folder, schema)
+    store.point(table, folder, schema, table_comment(contract, kind), column_comments(contract, kind))
     run.details["snapshot"] = folder
-    store.comment(table, table_comment(contract, kind), column_comments(contract, kind))

@@ -1,7 +1,10 @@
 """Where published tables live: one shared root folder plus the session catalog.
 
-A snapshot is written to a folder of its own and verified there; publishing is
-only the repointing of the catalog table, so readers never see a bad version.
+A snapshot is written to a folder of its own and verified there. It becomes a table
+of its own, a version; the published name is a view of one version. Publishing
+alters the view, which is one catalog call whether or not the schema changes (to
+create or replace it would drop it first): a reader sees the old version or the
+new one, and a crash leaves either.
 """
 
 from __future__ import annotations
@@ -9,6 +12,8 @@ from __future__ import annotations
 import posixpath
 from collections.abc import Iterable
 from dataclasses import dataclass
+from datetime import UTC, datetime
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +32,8 @@ class Store:
     bronze: str = "bronze"
     silver: str = "silver"
     control: str = "controle"
+    #: Newest versions of a snapshot to keep when another is published; None: all.
+    keep_versions: int | None = None
 
     def prepare(self) -> Store:
         for schema in (self.bronze, self.silver, self.control):
@@ -70,27 +77,68 @@ class Store:
         return self.spark.table(table).dtypes
 
     def point(
-        self, table: str, folder: str, schema: list[tuple[str, str]]
+        self,
+        table: str,
+        folder: str,
+        schema: list[tuple[str, str]],
+        text: str = "",
+        comments: dict[str, str] | None = None,
     ) -> None:
-        """Make a written and verified folder the table's content."""
-        same = self.exists(table) and self.schema_of(table) == schema
-        if same:
-            self.spark.sql(
-                f"ALTER TABLE {table} SET LOCATION '{sql_text(folder)}'"
-            )
-            self.spark.catalog.refreshTable(table)
-            return
-        columns = ", ".join(f"`{name}` {kind}" for name, kind in schema)
-        # external table: dropping the entry leaves every version in place
-        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        """Make a written and verified folder the content of ``table``."""
+        comments = comments or {}
+        version = f"{table}__v{datetime.now(UTC):%Y%m%d%H%M%S%f}_{uuid4().hex[:6]}"
+        columns = ", ".join(
+            f"`{name}` {kind}" + (f" COMMENT '{sql_text(comments[name])}'" if comments.get(name) else "")
+            for name, kind in schema
+        )
         self.spark.sql(
-            f"CREATE TABLE {table} ({columns}) USING parquet "
-            f"LOCATION '{sql_text(folder)}'"
+            f"CREATE TABLE {version} ({columns}) USING parquet "
+            f"LOCATION '{sql_text(folder)}' TBLPROPERTIES ('folder' = '{sql_text(folder)}')"
         )
+        if self.exists(table) and not self._is_view(table):
+            # a table that an earlier release left under the name; it gives way once
+            self.spark.sql(f"DROP TABLE {table}")
+        listed = ", ".join(f"`{name}`" for name, _ in schema)
+        change = "ALTER" if self.exists(table) else "CREATE"
+        self.spark.sql(f"{change} VIEW {table} AS SELECT {listed} FROM {version}")
+        if (self.spark.catalog.getTable(table).description or "") != text:
+            self.spark.sql(f"ALTER VIEW {table} SET TBLPROPERTIES ('comment' = '{sql_text(text)}')")
+        if self.keep_versions is not None:
+            self.retire(table, self.keep_versions)
+
+    def _is_view(self, table: str) -> bool:
+        return self.spark.catalog.getTable(table).tableType == "VIEW"
+
+    def shown_version(self, table: str) -> str:
+        """The version a published name shows."""
+        about = self.spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+        return about.where("col_name = 'View Text'").first().data_type.rsplit(" ", 1)[1]
+
+    def version_folder(self, version: str) -> str:
+        return self.spark.sql(f"SHOW TBLPROPERTIES {version}").where("key = 'folder'").first()["value"]
+
+    def versions(self, table: str) -> list[str]:
+        """Versions of a snapshot, oldest first."""
+        schema, name = table.rsplit(".", 1)
+        shown = self.spark.sql(f"SHOW TABLES IN {schema} LIKE '{name}__v*'").collect()
+        return sorted(f"{schema}.{r.tableName}" for r in shown)
+
+    def retire(self, table: str, keep: int) -> list[str]:
+        """Drop all but the newest versions, with their folders; never the one shown."""
+        known, shown = self.versions(table), self.shown_version(table)
+        old = [x for x in known[: max(0, len(known) - keep)] if x != shown]
+        kept = {self.version_folder(x) for x in known if x not in old}
+        for version in old:
+            folder = self.version_folder(version)
+            self.spark.sql(f"DROP TABLE {version}")
+            if folder not in kept:
+                # a staged version is the well-formed side of its folder
+                self.discard(posixpath.dirname(folder) if "=" in posixpath.basename(folder) else folder)
+        return old
 
     def discard(self, folder: str) -> None:
         """Delete a folder of this store that nothing was pointed at."""
-        if not folder.startswith(self.root):
+        if not folder.startswith(self.root.rstrip("/") + "/"):
             raise ValueError(f"{folder} is not below {self.root}")
         context = self.spark.sparkContext
         path = context._jvm.org.apache.hadoop.fs.Path(folder)
@@ -103,22 +151,17 @@ class Store:
 
     # --------------------------------------------------------- comments
 
-    def comment(
-        self, table: str, text: str, columns: dict[str, str]
-    ) -> list[str]:
-        """Write the comments that differ; return the names written."""
-        written = []
-        about = self.spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
-        if text not in [r.data_type for r in about if r.col_name == "Comment"]:
-            self.spark.sql(f"COMMENT ON TABLE {table} IS '{sql_text(text)}'")
-            written.append(table)
-        fields = self.spark.table(table).schema.fields
-        current = {f.name: f.metadata.get("comment", "") for f in fields}
-        for name, wanted in columns.items():
-            if name in current and current[name] != wanted:
-                self.spark.sql(
-                    f"ALTER TABLE {table} ALTER COLUMN `{name}` "
-                    f"COMMENT '{sql_text(wanted)}'"
-                )
-                written.append(name)
-        return written
+    def comment(self, table: str, text: str, columns: dict[str, str]) -> list[str]:
+        """Give a published table these comments; return the names that differed.
+
+        Columns change together, by a version of the same folder.
+        """
+        fields = {f.name: f.metadata.get("comment", "") for f in self.spark.table(table).schema}
+        wanted = {n: columns.get(n, told) for n, told in fields.items()}
+        differing = [n for n in fields if wanted[n] != fields[n]]
+        if (self.spark.catalog.getTable(table).description or "") != text:
+            differing.insert(0, table)
+        if differing:
+            folder = self.version_folder(self.shown_version(table))
+            self.point(table, folder, self.schema_of(table), text, wanted)
+        return differing

@@ -1,3 +1,4 @@
+import threading
 from dataclasses import replace
 from pathlib import Path
 
@@ -179,3 +180,66 @@ def test_catalog_keeps_curation(lake):
     sync_catalog(lake, name, rows(("t", "a", 2, "bigint", True, False, None, "y"), ("t", "b", 3, "int", True, False, None, "z")))
     got = {r.coluna: (r.ordem, r.tipo, r.descricao_organizacional) for r in spark.table(table).collect()}
     assert got == {"a": (2, "bigint", "ours"), "b": (3, "int", v.TO_CONFIRM)}
+
+
+def versions_of(spark, lake, table, schemas):
+    """Point a table at one version after the other, with these schemas."""
+    for i, ddl in enumerate(schemas):
+        names = [c.split()[0] for c in ddl.split(", ")]
+        rows = spark.createDataFrame([tuple([i] * len(names))] * 3, ddl)
+        folder = lake.folder(table, f"run-{i}")
+        rows.write.parquet(folder)
+        yield folder, rows.dtypes
+
+
+def test_readers_never_miss_a_table_whose_schema_changes(lake):
+    spark, table = lake.spark, f"{lake.silver}.changing"
+    schemas = ["a int, b int", "b int, a int, c int", "a bigint", "c int, a int", "a int, b int"]
+    made = list(versions_of(spark, lake, table, schemas))
+    lake.point(table, *made[0])
+    seen, failed, over = set(), [], threading.Event()
+
+    def poll():
+        while not over.is_set():
+            try:
+                rows = spark.table(table)
+                seen.add((tuple(rows.columns), len(rows.collect())))
+            except Exception as error:  # noqa: BLE001
+                failed.append(error)
+
+    reader = threading.Thread(target=poll)
+    reader.start()
+    for _ in range(3):
+        for folder, dtypes in made:
+            lake.point(table, folder, dtypes)
+    over.set()
+    reader.join()
+    assert not failed
+    assert {n for _, n in seen} == {3}
+    assert {c for c, _ in seen} <= {("a", "b"), ("b", "a", "c"), ("a",), ("c", "a")}
+
+
+def test_old_versions_are_kept_or_retired(lake):
+    spark, table = lake.spark, f"{lake.silver}.kept"
+    made = list(versions_of(spark, lake, table, ["a int", "a int, b int", "a int"]))
+    for folder, dtypes in made:
+        lake.point(table, folder, dtypes)
+    assert len(lake.versions(table)) == 3
+    older = spark.table(lake.versions(table)[1])
+    assert (older.columns, older.count()) == (["a", "b"], 3)
+    assert len(lake.retire(table, 2)) == 1 and len(lake.versions(table)) == 2
+    assert not Path(made[0][0]).exists() and Path(made[1][0]).exists()
+    assert lake.retire(table, 0) and len(lake.versions(table)) == 1
+    assert [r.a for r in spark.table(table).collect()] == [2, 2, 2]
+
+
+def test_a_table_of_an_earlier_release_gives_way(lake):
+    spark, table = lake.spark, f"{lake.silver}.older"
+    (folder, dtypes), = versions_of(spark, lake, table, ["a int"])
+    spark.sql(f"CREATE TABLE {table} (a int) USING parquet LOCATION '{folder}'")
+    lake.point(table, folder, dtypes, "text", {"a": "a column's"})
+    assert spark.table(table).count() == 3
+    assert spark.table(table).schema["a"].metadata["comment"] == "a column's"
+    assert lake.comment(table, "text", {"a": "a column's"}) == []
+    assert lake.comment(table, "other", {"a": "x", "gone": "y"}) == [table, "a"]
+    assert spark.table(table).schema["a"].metadata["comment"] == "x" and spark.table(table).count() == 3
