@@ -57,8 +57,20 @@ def history(store: Store, identifier: str) -> DataFrame:
     One row per attempt of one table, read by several checks: computed once.
     """
     rows = store.spark.table(store.run_log)
-    mine = rows.where(F.col("identificador") == identifier)
-    return settle(runlog.current(mine.coalesce(1)))
+    return settle(runlog.current(rows.where(F.col("identificador") == identifier)))
+
+
+def compact_closed(store: Store, before: str) -> dict[str, int]:
+    """Compact the run log and the quarantine of all periods before one.
+
+    Attempts of those periods are over; the quarantine is put in the order of its
+    ids, so a lookup reads only files that can hold them.
+    """
+    by, closed = [v.PARTITION_COL, v.PERIOD_COL], f"{v.PERIOD_COL} < '{before}'"
+    return {
+        store.run_log: store.compact(store.run_log, by, closed, ["iniciado_em", "id_execucao"]),
+        store.quarantine: store.compact(store.quarantine, by, closed, ["id_quarentena"]),
+    }
 
 
 @contextmanager

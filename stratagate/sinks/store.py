@@ -16,8 +16,14 @@ from datetime import UTC, datetime
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratagate import vocabulary as v
+from stratagate.session import written
+
+#: Size of a compacted file, and writers of one file each at the same time.
+FILE_BYTES = 128 * 1024 * 1024
+MOST_WRITERS = 1000
 
 
 def sql_text(text: str) -> str:
@@ -38,7 +44,7 @@ class Store:
     def prepare(self) -> Store:
         for schema in (self.bronze, self.silver, self.control):
             self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
-        self.ensure(self.run_log, v.RUN_LOG_DDL, (v.PARTITION_COL,))
+        self.ensure(self.run_log, v.RUN_LOG_DDL, (v.PARTITION_COL, v.PERIOD_COL))
         self.ensure(
             self.quarantine, v.QUARANTINE_DDL, (v.PARTITION_COL, v.PERIOD_COL)
         )
@@ -71,6 +77,66 @@ class Store:
         columns = self.spark.table(table).columns
         rows.select(*columns).write.insertInto(table)
 
+    def _files(self, table: str, by: list[str], closed: str) -> DataFrame:
+        """Files of the partitions for which ``closed`` holds, from their metadata."""
+        rows = self.spark.table(table).where(closed)
+        return rows.select(*by, "_metadata.file_path", "_metadata.file_size").distinct()
+
+    def compact(
+        self, table: str, by: list[str], closed: str, order: Iterable[str] = (), file_bytes: int = FILE_BYTES
+    ) -> int:
+        """Rewrite closed partitions beside their readers; return how many changed.
+
+        ``by`` names the partition columns and ``closed`` tells by them which partitions
+        get no more rows. All of them are rewritten in one job: one file each, or
+        ranges of ``order`` where a file would be too large, so that file statistics
+        prune by it. Each is then shown by one catalog call, after its rows were
+        counted again; if files came in meanwhile, nothing changes. Old files stay
+        for those who read them. Partitions of a NULL are left as they are.
+        """
+        before = written(self._files(table, by, closed), "files")
+        each = before.groupBy(*by).agg(
+            F.count(F.lit(1)).alias("_files"), F.ceil(F.sum("file_size") / file_bytes).alias("_wanted")
+        )
+        due = written(each.where("_files > _wanted").dropna(subset=by), "partitions")
+        total = due.agg(F.count(F.lit(1)), F.sum("_wanted"), F.max("_wanted")).first()
+        if not total[0]:
+            return 0
+        folder = self.folder(f"{table}_compacted", uuid4().hex[:12])
+        rows = self.spark.table(table).where(closed).join(F.broadcast(due), by).drop("_files")
+        order = list(order)
+        # the number of partitions in both is small, that of files is not bounded
+        single = rows.where("_wanted = 1").drop("_wanted").repartition(min(total[0], MOST_WRITERS), *by)
+        single.sortWithinPartitions(*by, *order).write.partitionBy(*by).parquet(f"{folder}/single")
+        places = [f"{folder}/single"]
+        if total[2] > 1:
+            ranged = rows.where("_wanted > 1").drop("_wanted").repartitionByRange(int(total[1]), *by, *order)
+            ranged.sortWithinPartitions(*by, *order).write.partitionBy(*by).parquet(f"{folder}/ranged")
+            places.append(f"{folder}/ranged")
+        counted = self.spark.table(table).where(closed).join(F.broadcast(due), by).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+        for i, place in enumerate(places):
+            found = self.spark.read.schema(self.spark.table(table).schema).parquet(place)
+            again = found.groupBy(*by).agg(F.count(F.lit(1)).alias("again"), F.lit(i).alias("_place"))
+            seen = again if not i else seen.unionByName(again)
+        wrong = counted.join(seen, by, "full").where("NOT n <=> again")
+        self.spark.catalog.refreshTable(table)
+        late = self._files(table, by, closed).exceptAll(before)
+        if not wrong.isEmpty() or not late.isEmpty():
+            self.discard(folder)
+            raise RuntimeError(f"{table}: rows came in while closed partitions were compacted")
+        # one row per rewritten partition
+        shown = seen.select(*by, "_place").collect()
+        for r in shown:
+            keys = ", ".join(f"`{c}` = '{sql_text(str(r[c]))}'" for c in by)
+            inner = self._partition_path(places[r["_place"]], {c: str(r[c]) for c in by})
+            self.spark.sql(f"ALTER TABLE {table} PARTITION ({keys}) SET LOCATION '{sql_text(inner)}'")
+        self.spark.catalog.refreshTable(table)
+        return len(shown)
+
+    def _partition_path(self, place: str, values: dict[str, str]) -> str:
+        names = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        return posixpath.join(place, *[names.getPartitionPathString(c, x) for c, x in values.items()])
+
     # -------------------------------------------------------- snapshots
 
     def schema_of(self, table: str) -> list[tuple[str, str]]:

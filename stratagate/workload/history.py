@@ -74,23 +74,13 @@ def latest_acquisition(spark, sf_dir):
     CTE + "SELECT id_execucao, status, finalizado_em IS NULL AS open_ended FROM runs",
 )
 def current_runs(spark, sf_dir):
-    """Start and end rows of every run; the end row wins where there is one."""
-    ended = runs(spark, sf_dir)
-    started = ended.withColumns(
+    """Start and end rows of every run; a run that never ended has only its start."""
+    logged = runs(spark, sf_dir)
+    started = logged.where("finalizado_em IS NOT NULL").withColumns(
         {"status": F.lit(v.RUNNING), "finalizado_em": F.lit(None).cast("timestamp")}
     )
-    present = runlog.current(started.where("finalizado_em is null").union(ended))
-    closed = ended.where("finalizado_em is not null")
-    # a run that never closed keeps whichever row it has
-    return (
-        present.join(closed.select("id_execucao"), "id_execucao", "left_semi")
-        .select("id_execucao", "status", F.lit(False).alias("open_ended"))
-        .union(
-            ended.where("finalizado_em is null").select(
-                "id_execucao", "status", F.lit(True)
-            )
-        )
-    )
+    present = runlog.current(started.unionByName(logged))
+    return present.select("id_execucao", "status", F.col("finalizado_em").isNull().alias("open_ended"))
 
 
 @query(

@@ -17,6 +17,7 @@ from stratagate.plans.acquire import acquire
 from stratagate.plans.bronze import publish_bronze
 from stratagate.plans.inspect import inspect_delivery
 from stratagate.plans.publish import append_quarantine
+from stratagate.plans.runs import compact_closed
 from stratagate.plans.silver import publish_silver, write_and_measure
 from stratagate.session import new_folder
 from stratagate.sinks.store import Store
@@ -313,3 +314,40 @@ def items_published(spark, sf_dir):
     folder = new_folder(spark, "items")
     write_and_measure(evaluate(raw, ITEMS), PERIOD, "run-1", folder)
     return spark.read.parquet(folder)
+
+
+LOGGED = """
+SELECT o_orderkey AS k, 'shop_' || substring(o_orderpriority, 1, 1) AS identificador,
+       substring(CAST(o_orderdate AS STRING), 1, 4) || '-01' AS competencia
+FROM orders
+"""
+
+
+@query(
+    "run_log_compacted",
+    f"""SELECT identificador, competencia, count(*) AS execucoes, CAST(sum(k) AS BIGINT) AS chaves,
+               competencia >= '1998' OR NULL AS aberta,
+               CASE WHEN competencia < '1998' THEN 1 END AS arquivos
+        FROM ({LOGGED}) GROUP BY identificador, competencia""",
+)
+def run_log_compacted(spark, sf_dir):
+    """A log of many small files, its closed periods compacted to one file each."""
+    store = new_store(spark)
+    logged = from_sql(spark, sf_dir, LOGGED)
+    columns = spark.table(store.run_log).schema
+    known = {"id_execucao": F.col("k").cast("string"), "linhas_origem": F.col("k")}
+    known |= {c: F.col(c) for c in (v.PARTITION_COL, v.PERIOD_COL)}
+    rows = logged.repartition(4, "k").select(
+        *[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in columns]
+    )
+    store.append(store.run_log, rows)
+    compact_closed(store, "1998")
+    closed = F.col(v.PERIOD_COL) < "1998"
+    log = spark.table(store.run_log)
+    return log.groupBy(v.PARTITION_COL, v.PERIOD_COL).agg(
+        F.count(F.lit(1)).alias("execucoes"), F.sum("linhas_origem").alias("chaves"),
+        F.count_distinct("_metadata.file_path").alias("_n"),
+    ).select(
+        v.PARTITION_COL, v.PERIOD_COL, "execucoes", "chaves",
+        F.when(~closed, F.lit(True)).alias("aberta"), F.when(closed, F.col("_n").cast("int")).alias("arquivos"),
+    )

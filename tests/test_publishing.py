@@ -11,6 +11,7 @@ from stratagate.operators.checks import PublicationBlocked
 from stratagate.plans.acquire import acquire, fingerprint_of, selected_parts
 from stratagate.plans.bronze import publish_bronze
 from stratagate.plans.inspect import diagnose_references, inspect_delivery, sync_catalog
+from stratagate.plans.runs import compact_closed
 from stratagate.plans.silver import publish_silver
 from stratagate.sinks.store import Store
 
@@ -243,3 +244,40 @@ def test_a_table_of_an_earlier_release_gives_way(lake):
     assert lake.comment(table, "text", {"a": "a column's"}) == []
     assert lake.comment(table, "other", {"a": "x", "gone": "y"}) == [table, "a"]
     assert spark.table(table).schema["a"].metadata["comment"] == "x" and spark.table(table).count() == 3
+
+
+def test_closed_periods_are_compacted_beside_their_readers(lake, tmp_path):
+    spark = lake.spark
+    for period in ("2026-07", "2026-08", "2026-09"):
+        bronze(lake, tmp_path, period=period, allow_earlier=True)
+        publish_silver(lake, ITEMS, period)
+    log, kept = spark.table(lake.run_log), spark.table(lake.quarantine)
+    before = sorted(map(repr, log.collect())), sorted(map(repr, kept.collect()))
+    changed = compact_closed(lake, "2026-09")
+    # of both identifiers in the log, both periods; bronze and silver share a quarantine
+    assert changed[lake.run_log] == 4 and changed[lake.quarantine] == 2
+    log, kept = spark.table(lake.run_log), spark.table(lake.quarantine)
+    assert (sorted(map(repr, log.collect())), sorted(map(repr, kept.collect()))) == before
+    for table in (log, kept):
+        files = table.where("competencia < '2026-09'").groupBy("identificador", "competencia")
+        assert {r.n for r in files.agg(F.count_distinct("_metadata.file_path").alias("n")).collect()} == {1}
+    # again: nothing to do; a publication goes on as before
+    assert set(compact_closed(lake, "2026-09").values()) == {0}
+    ids = spark.table(lake.quarantine).count()
+    bronze(lake, tmp_path, period="2026-09")
+    assert publish_silver(lake, ITEMS, "2026-09").values["linhas_quarentena"] == 5
+    assert spark.table(lake.quarantine).count() == ids
+
+
+def test_large_partitions_become_ranges(lake):
+    spark, table = lake.spark, f"{lake.control}.ids"
+    lake.ensure(table, "id bigint, p string", ("p",))
+    for start in (0, 5000):
+        lake.append(table, spark.range(start, start + 5000).selectExpr("(id * 7919) % 10007 AS id", "'x y/z' AS p"))
+    size = sum(r.file_size for r in spark.table(table).select("_metadata.file_path", "_metadata.file_size").distinct().collect())
+    total = spark.table(table).agg(F.sum("id"), F.count("id")).first()
+    files = spark.table(table).select("_metadata.file_path").distinct().count()
+    assert lake.compact(table, ["p"], "p < 'z'", ["id"], file_bytes=size // min(files - 1, 4) + 1) == 1
+    assert spark.table(table).agg(F.sum("id"), F.count("id")).first() == total
+    spans = spark.table(table).groupBy("_metadata.file_path").agg(F.min("id").alias("a"), F.max("id").alias("b")).orderBy("a").collect()
+    assert 1 < len(spans) < files and all(x.b < y.a for x, y in zip(spans, spans[1:], strict=False))
