@@ -17,6 +17,8 @@ from stratagate.operators import sizing
 from stratagate.session import settle
 
 CHUNK = 10_000
+#: Shares of one hot key in an exchange.
+SALTS = 4096
 
 
 def repeated_keys(rows: DataFrame, key: list[str], size: str) -> DataFrame:
@@ -48,11 +50,13 @@ def with_group_size(rows: DataFrame, key: list[str], size: str) -> DataFrame:
 def _split_join(
     rows: DataFrame, repeated: DataFrame, key: list[str], size: str
 ) -> DataFrame:
-    """Hot keys by broadcast, where the rows are; all others by shuffle.
+    """Sizes of hot keys by broadcast, of all others by one shuffle of the rows.
 
     At most total / threshold keys can reach the threshold, which bounds the
-    broadcast side; its bytes are measured too. Keys left to the shuffle have
-    fewer rows than the threshold each.
+    broadcast side; its bytes are measured too. Rows that have met a hot key go
+    through the same exchange under a salt, where nothing is looked for, so they
+    are spread; other keys have fewer rows than the threshold each. The rows are
+    read once.
     """
     total = repeated.agg(F.sum(size)).first()[0]
     threshold = -(-total // sizing.BROADCAST_ROWS)
@@ -60,10 +64,14 @@ def _split_join(
     while not sizing.fits_broadcast(hot):
         threshold *= 2
         hot = repeated.where(F.col(size) > threshold)
-    cold = repeated.where(F.col(size) <= threshold)
-    in_place = _meet(rows, F.broadcast(hot), key, "inner")
-    others = _meet(rows, F.broadcast(hot.select(*key)), key, "left_anti")
-    return in_place.unionByName(_meet(others, cold, key, "left"))
+    cold = repeated.where(F.col(size) <= threshold).withColumn("_salt", F.lit(0).cast("long"))
+    met = _meet(rows, F.broadcast(hot.withColumnRenamed(size, "_hot")), key, "left")
+    spread = F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(
+        1 + F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))
+    )
+    salted = met.withColumn("_salt", spread.cast("long"))
+    every = _meet(salted, cold, [*key, "_salt"], "left")
+    return every.withColumn(size, F.coalesce("_hot", size)).drop("_hot", "_salt")
 
 
 def number_copies(

@@ -49,3 +49,17 @@ def test_hot_copies_are_written_by_several_tasks(spark):
     found = numbered.groupBy(F.spark_partition_id().alias("task")).count().collect()
     assert len(found) > 1 and sum(r["count"] for r in found) == 4 * groups.CHUNK
     assert numbered.agg(F.countDistinct("copy"), F.max("copy")).first()[:] == (4 * groups.CHUNK,) * 2
+
+
+def test_large_branch_reads_the_rows_once(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 3)
+    data = [("hot", i) for i in range(400)] + [(None, i) for i in range(90)] + [(f"k{i % 70}", i) for i in range(150)]
+    spark.createDataFrame([*data, ("single", 0)], "k string, n int").write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    sized = groups.with_group_size(rows, ["k"], "size")
+    plan = sized._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    expected = Counter(k for k, _ in data) + Counter(["single"])
+    got = sized.select("k", "n", "size").collect()
+    assert len(got) == len(data) + 1
+    assert all(r["size"] == expected[r.k] for r in got)
