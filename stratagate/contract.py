@@ -137,7 +137,8 @@ class Contract:
     part_count: int | None = None
     # a part delivered as a folder of files rather than as one file
     split_parts: bool = False
-    declared_total: tuple[str, str] | None = None
+    # contract of the source's totals file, and its column with the rows of this entity
+    declared_total: tuple[Contract, str] | None = None
     version: int = 1
     state: str = v.DRAFT
     read_hash: str = ""

@@ -11,6 +11,7 @@ from stratagate.operators import checks
 from stratagate.operators.quarantine import Origin, malformed_rows
 from stratagate.plans.publish import publish, require_governance, require_schema
 from stratagate.plans.runs import Run, attempt
+from stratagate.plans.totals import total_of
 from stratagate.session import settings, settle
 from stratagate.sinks.store import Store
 from stratagate.sources import delimited
@@ -56,7 +57,8 @@ def publish_bronze(
     """Publish the selected parts of one delivery.
 
     ``manifest``: part and path of the files the contract selects, below
-    ``folder``. ``declared_total``: one row with the total the source declares.
+    ``folder``. ``declared_total``: one row with the total the source declares; without
+    it the contract's totals file tells, if the contract names one.
     """
     spark = store.spark
     table = f"{store.bronze}.{contract.identifier}"
@@ -106,6 +108,8 @@ def publish_bronze(
             checks.tolerance(measured, contract.dialect.tolerance, contract.identifier),
             checks.malformed_blocks(measured, action, contract.identifier),
         ]
+        if declared_total is None and contract.declared_total is not None:
+            declared_total = settle(total_of(store, contract, period, folder))
         if declared_total is not None:
             run.details["total_declarado"] = declared_total.first()[0]
             problems.append(

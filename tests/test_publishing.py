@@ -281,3 +281,39 @@ def test_large_partitions_become_ranges(lake):
     assert spark.table(table).agg(F.sum("id"), F.count("id")).first() == total
     spans = spark.table(table).groupBy("_metadata.file_path").agg(F.min("id").alias("a"), F.max("id").alias("b")).orderBy("a").collect()
     assert 1 < len(spans) < files and all(x.b < y.a for x, y in zip(spans, spans[1:], strict=False))
+
+
+def test_total_is_found_by_its_contract(lake, tmp_path):
+    totals = replace(
+        ITEMS, entity="totais", fields=(Field("itens", header="ITENS"), Field("outros", header="OUTROS")), key=(),
+        rules=(), file_pattern="tot*", part_count=1,
+    )
+    told = replace(ITEMS, declared_total=(totals, "itens"), file_pattern="itens*")
+    rows = GOOD.strip().count("\n")
+
+    def publish(period, files, contract=told):
+        folder = tmp_path / f"in-{period}"
+        for name, data in {"itens.csv": GOOD, **files}.items():
+            write(folder, name, data)
+        acquire(lake, BASE, period, str(folder))
+        parts = selected_parts(lake, BASE, period, contract.file_pattern)
+        return publish_bronze(
+            lake, contract, period, parts, str(folder), fingerprint_of(parts), allow_earlier=True
+        )
+
+    run = publish("2026-01", {"tot.csv": f"ITENS;OUTROS\n{rows};7\n"})
+    assert run.details["total_declarado"] == rows
+    refused = {
+        "2026-02": ({"tot.csv": "ITENS;OUTROS\n99;7\n"}, "declared 99, read"),
+        "2026-03": ({}, "0 parts found, expected 1"),
+        "2026-04": ({"tot.csv": "ITENS;OUTROS\n1;7\n", "tot2.csv": "ITENS;OUTROS\n1;7\n"}, "2 parts found"),
+        "2026-05": ({"tot.csv": "OUTROS;ITENS\n1;7\n"}, "header tot.csv"),
+        "2026-06": ({"tot.csv": f"ITENS;OUTROS\n{rows};\xe9\n".encode("latin-1")}, "does not decode"),
+        "2026-07": ({"tot.csv": f"ITENS;OUTROS\n{rows};1\n{rows};1\n"}, "declared nothing"),
+    }
+    for period, (files, why) in refused.items():
+        with pytest.raises(PublicationBlocked, match=why):
+            publish(period, files)
+    elsewhere = replace(told, declared_total=(replace(totals, base="other"), "itens"))
+    with pytest.raises(PublicationBlocked, match="is not of"):
+        publish("2026-08", {"tot.csv": f"ITENS;OUTROS\n{rows};7\n"}, elsewhere)
