@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratagate import vocabulary as v
-from stratagate.contract import Contract
+from stratagate.contract import Contract, Dialect, Field, Labels
 from stratagate.operators import checks, quarantine, runlog
 from stratagate.operators.checks import PublicationBlocked
 from stratagate.operators.evaluate import evaluate
@@ -23,7 +23,7 @@ from stratagate.session import new_folder
 from stratagate.sinks.store import Store
 from stratagate.workload.contracts import DELIVERED, ITEMS
 from stratagate.workload.delivery import CTE as DELIVERY_CTE
-from stratagate.workload.delivery import delivered
+from stratagate.workload.delivery import delivered, write_once
 from stratagate.workload.inputs import from_sql
 from stratagate.workload.registry import query
 from stratagate.workload.rows import (
@@ -351,3 +351,65 @@ def run_log_compacted(spark, sf_dir):
         v.PARTITION_COL, v.PERIOD_COL, "execucoes", "chaves",
         F.when(~closed, F.lit(True)).alias("aberta"), F.when(closed, F.col("_n").cast("int")).alias("arquivos"),
     )
+
+
+NOTES = Contract(
+    "shop", "sales", "notes",
+    fields=(
+        Field("order_id", v.LONG, nullable=False, description="Number of the order; it's the key."),
+        Field("status", domain=Labels({"F": "Filled", "O": "Open", "P": "Partial"}, "status_label"), description="State of the order."),
+    ),
+    key=("order_id",), dialect=Dialect(header=False, tolerance=1.0), split_parts=True,
+    description="Orders with notes.",
+)
+
+# some lines carry a long note and two fields too many
+NOTED = """
+SELECT o_orderkey AS k, o_orderkey % 97 = 0 AS malformed,
+       CAST(o_orderkey AS STRING) || ';' || CASE WHEN o_orderkey % 97 = 0
+         THEN repeat(o_orderstatus || 'é' || o_orderpriority, 40) || ';x;y' ELSE o_orderstatus END AS line
+FROM orders
+"""
+
+
+@query(
+    "publication_told",
+    f"""WITH noted AS ({NOTED})
+    SELECT 'evidence' AS what, CAST(k AS STRING) AS name, substring(line, 1, 200) AS told FROM noted WHERE malformed
+    UNION ALL SELECT 'rows', 'BRONZE', CAST(count(*) AS STRING) || ' = ' || CAST(count(*) FILTER (NOT malformed) AS STRING)
+              || ' + ' || CAST(count(*) FILTER (malformed) AS STRING) FROM noted
+    UNION ALL SELECT 'rows', 'SILVER', CAST(count(*) AS STRING) || ' = ' || CAST(count(*) AS STRING) || ' + 0'
+              FROM noted WHERE NOT malformed
+    UNION ALL SELECT 'load time', 'quarantine', 'within its run' FROM noted WHERE malformed
+    UNION ALL VALUES
+      ('comment', 'order_id', 'Number of the order; it''s the key.'), ('comment', 'status', 'State of the order.'),
+      ('comment', 'status_label', 'Label of status.'), ('comment', 'competencia', 'Period of the publication (YYYY-MM).'),
+      ('comment', '_arquivo_origem', 'Delivered file the row came from.'), ('comment', '_id_execucao', 'Run that published the row.'),
+      ('table', 'silver', 'Orders with notes. Silver: types, domains and rules of the contract applied. Contract shop_sales_notes version 1.'),
+      ('table', 'bronze', 'Orders with notes. Bronze: text as delivered. Contract shop_sales_notes version 1.')""",
+)
+def publication_told(spark, sf_dir):
+    """What a publication leaves behind to be read: comments, evidence, load times, totals."""
+    store = new_store(spark)
+    lines = from_sql(spark, sf_dir, NOTED).select(F.col("line").alias("value"), F.lit("notes").alias("source_part"))
+    folder = write_once(spark, sf_dir, "notes", lines)
+    part = spark.createDataFrame([("source_part=notes", f"{folder}/source_part=notes")], "part string, path string")
+    publish_bronze(store, NOTES, PERIOD, part, folder, "notes-1")
+    publish_silver(store, NOTES, PERIOD)
+    silver, bronze = (f"{layer}.{NOTES.identifier}" for layer in (store.silver, store.bronze))
+    listed = [("comment", f.name, f.metadata.get("comment")) for f in spark.table(silver).schema]
+    listed += [("table", n, spark.catalog.getTable(t).description) for n, t in (("silver", silver), ("bronze", bronze))]
+    told = spark.createDataFrame(listed, "what string, name string, told string")
+    kept = spark.table(store.quarantine)
+    log = spark.table(store.run_log).where("finalizado_em IS NOT NULL")
+    evidence = kept.select(
+        F.lit("evidence"), F.substring_index("registro", ";", 1), F.get_json_object("motivos", "$[0].valor")
+    )
+    rows = log.select(
+        F.lit("rows"), "tipo", F.format_string("%d = %d + %d", "linhas_origem", "linhas_publicadas", "linhas_quarentena")
+    )
+    inside = F.col("registrado_em").between(F.col("iniciado_em"), F.col("finalizado_em"))
+    times = kept.join(log.select("id_execucao", "iniciado_em", "finalizado_em"), "id_execucao").select(
+        F.lit("load time"), F.lit("quarantine"), F.when(inside, "within its run").otherwise("outside its run")
+    )
+    return told.union(evidence).union(rows).union(times)
