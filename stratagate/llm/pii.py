@@ -3,19 +3,18 @@
 Base kinds (email, ip, card, phone) are found by their regular expressions. They
 are the seeds of a bootstrap: what stands before a seed is a lexical pattern, and
 a pattern that is trusted discovers further identifiers, of kind ``id``, that no
-fixed pattern knows. Per round, on the graph of patterns and instances,
+fixed pattern knows. On the graph of patterns and instances,
 
-1. every pattern gets the number of its instances and of its known ones;
-2. patterns with few known instances are left out, and so are those whose last word
-   stands before many identifiers without the first (it is prose, not a label); the
-   corpus is searched for all places where the others stand, followed by an
-   identifier or not;
-3. a pattern is trusted when most of those places hold an identifier;
-4. the instances of trusted patterns become known, wherever else they occur.
+1. a pattern can be trusted when its last word does not stand before many
+   identifiers without the first (it is prose, not a label), and when most places of
+   the corpus where its words stand, followed by an identifier or not, hold one;
+2. of these, a pattern is trusted when enough of its different instances are known;
+3. the instances of trusted patterns become known, wherever else they occur, and
+   step 2 is taken again until it trusts nothing new.
 
-All of it is DataFrame work. Each row finds its spans by itself, patterns travel
-as counts, and only trusted patterns (at most ``MOST_TRUSTED``) reach the plan of
-the last pass as constants.
+All of it is DataFrame work. Patterns and instances stay tables of any size; how
+often words stand anywhere is counted in one pass, summed before it is joined.
+A pattern is at most ``_CONTEXT`` characters long, other identifiers included.
 
 The regular expressions are the contract's with possessive repeats and a test of
 what stands before, which keeps them linear on long runs and finds the same.
@@ -26,7 +25,7 @@ gives no rows; other columns are ignored, ``masked`` keeps them.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,29 +42,21 @@ EMAIL = rf"(?:(?<![{_LOCAL}])|\G)[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)
 IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9](?:[ -]?[0-9])++"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
-#: An identifier of unknown kind: letters and digits, the first digit soon enough.
-IDENTIFIER = r"(?<![A-Za-z0-9])[A-Za-z]*+[0-9][A-Za-z0-9]*+"
+#: An identifier of unknown kind: letters and a digit, then groups of both.
+IDENTIFIER = r"(?<![A-Za-z0-9])[A-Za-z]*+[0-9][A-Za-z0-9]*+(?:[-_][A-Za-z0-9]++)*+"
 LEAST_LENGTH, LEAST_DIGITS = 8, 3
 
-ROUNDS = 2
 #: A pattern needs so many different known instances, and so many of its places
 #: in the corpus must hold an identifier.
 LEAST_KNOWN, LEAST_PRECISION = 3, 0.8
 #: Of the instances behind a pattern's last word, the share behind the pattern.
 LEAST_SHARE = 0.2
-#: Patterns weighed against the corpus per round, and patterns trusted per round.
-MOST_WEIGHED, MOST_TRUSTED = 10_000, 100
+#: Up to so many trusted patterns are looked up as constants, more are joined.
+CONSTANTS = 500
 _CONTEXT = 64
 _BLOCK = 256
 
 
-@dataclass(frozen=True)
-class Trusted:
-    """Patterns whose instances are identifiers."""
-
-    patterns: tuple[str, ...] = ()
-
-
 def _running(lengths: Column) -> Column:
     """Sums of all earlier elements, in blocks so that no long array is copied per step."""
 
@@ -99,16 +90,33 @@ def _running(lengths: Column) -> Column:
     return let(cut, joined)
 
 
-def _context(before: Column) -> Column:
-    """The last two words before an identifier and what is attached to it, in lower case."""
+def _context(parts: Column, i: Column) -> Column:
+    """The last two words before match ``i`` and what is attached to it, in lower case.
+
+    A match and the gap before it have two characters or more, so half as many pairs
+    as a context has characters reach back far enough.
+    """
+    pairs = _CONTEXT // 2
+    gap = F.get(parts["p"], i)
+    start = F.greatest(i - pairs, F.lit(0)) + 1
+    earlier = F.zip_with(
+        F.slice(parts["p"], start, F.least(i, F.lit(pairs))),
+        F.slice(parts["m"], start, F.least(i, F.lit(pairs))),
+        lambda p, m: F.concat(p, m),
+    )
+    before = F.when(F.length(gap) >= _CONTEXT, gap).otherwise(
+        F.concat(F.array_join(earlier, ""), gap)
+    )
     near = F.right(before, F.lit(_CONTEXT))
     return F.lower(
         F.regexp_replace(F.regexp_extract(near, r"(\S+\s+\S+\s+\S*)$", 1), r"\s+", " ")
     )
 
 
-def _matches(text: Column, pattern: str, kind: str) -> Column:
-    """Structs (kind, start, end, token, context) of every match, code points."""
+def _matches(
+    text: Column, pattern: str, kind: str, valid: Callable[[Column], Column] | None = None
+) -> Column:
+    """Structs (kind, start, end, token, context) of valid matches, code points."""
 
     def placed(parts: Column) -> Column:
         lengths = F.transform(
@@ -122,19 +130,28 @@ def _matches(text: Column, pattern: str, kind: str) -> Column:
         def build(x: Column) -> Column:
             ahead = _running(F.transform(x, lambda y: y["gap"] + y["own"]))
 
-            def one(start: Column) -> Column:
-                return F.transform(
+            def found(start: Column) -> Column:
+                bare = F.transform(
                     x,
                     lambda y, i: F.struct(
-                        F.lit(kind).alias("kind"),
                         (F.get(start, i) + y["gap"]).alias("start"),
                         (F.get(start, i) + y["gap"] + y["own"]).alias("end"),
                         F.get(parts["m"], i).alias("token"),
-                        _context(F.get(parts["p"], i)).alias("context"),
+                        i.alias("i"),
+                    ),
+                )
+                return F.transform(
+                    bare if valid is None else F.filter(bare, lambda y: valid(y["token"])),
+                    lambda y: F.struct(
+                        F.lit(kind).alias("kind"),
+                        y["start"].alias("start"),
+                        y["end"].alias("end"),
+                        y["token"].alias("token"),
+                        _context(parts, y["i"]).alias("context"),
                     ),
                 )
 
-            return let(ahead, one)
+            return let(ahead, found)
 
         return let(lengths, build)
 
@@ -178,26 +195,28 @@ def _base(text: Column) -> Column:
     """Base spans of a text, by kind and then by start."""
     none = F.filter(_matches(F.lit(""), EMAIL, "email"), lambda _: F.lit(False))
     emails = F.when(F.contains(text, F.lit("@")), _matches(text, EMAIL, "email")).otherwise(none)
-    ips = F.filter(_matches(text, IP, "ip"), lambda x: _small_parts(x["token"]))
-    cards = F.filter(
-        _matches(text, CARD, "card"),
-        lambda x: F.when(
-            F.length(_digits(x["token"])).between(13, 19), _luhn(_digits(x["token"]))
+    ips = _matches(text, IP, "ip", _small_parts)
+    cards = _matches(
+        text,
+        CARD,
+        "card",
+        lambda token: F.when(
+            F.length(_digits(token)).between(13, 19), _luhn(_digits(token))
         ).otherwise(False),
     )
-    phones = F.filter(
-        _matches(text, PHONE, "phone"), lambda x: F.length(_digits(x["token"])).between(9, 15)
-    )
+    phones = _matches(text, PHONE, "phone", lambda token: F.length(_digits(token)).between(9, 15))
     plus = F.when(F.contains(text, F.lit("+")), phones).otherwise(none)
     return F.when(F.rlike(text, F.lit("[0-9]")), F.concat(emails, ips, cards, plus)).otherwise(emails)
 
 
 def _candidates(text: Column) -> Column:
     """Identifiers of unknown kind."""
-    found = F.filter(
-        _matches(text, IDENTIFIER, DISCOVERED),
-        lambda x: (F.length(x["token"]) >= LEAST_LENGTH)
-        & (F.length(_digits(x["token"])) >= LEAST_DIGITS),
+    found = _matches(
+        text,
+        IDENTIFIER,
+        DISCOVERED,
+        lambda token: (F.length(token) >= LEAST_LENGTH)
+        & (F.length(_digits(token)) >= LEAST_DIGITS),
     )
     none = F.filter(_matches(F.lit(""), IDENTIFIER, DISCOVERED), lambda _: F.lit(False))
     return F.when(F.rlike(text, F.lit("[0-9]")), found).otherwise(none)
@@ -213,90 +232,127 @@ def find(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_base", _base(text)).withColumn("_found", _candidates(text))
 
 
-def _accepted(trusted: Trusted) -> Column:
-    """Identifiers a trusted pattern stands before, outside of base spans."""
-    if not trusted.patterns:
-        return F.filter("_found", lambda _: F.lit(False))
-    return F.filter(
-        "_found",
-        lambda x: x["context"].isin(list(trusted.patterns)) & ~_overlaps(F.col("_base"), x),
-    )
-
-
-def bootstrap(docs: DataFrame, found: DataFrame, rounds: int = ROUNDS) -> Trusted:
-    """Trusted patterns; ``found`` holds _base and _found of every row of ``docs``."""
+def graph_of(found: DataFrame) -> DataFrame:
+    """Edges (context, token) with their places, and whether the token is known."""
     seeds = found.select(F.explode("_base").alias("x"), F.lit(True).alias("known"))
     others = found.select("_base", F.explode("_found").alias("x")).select(
         "x", _overlaps(F.col("_base"), F.col("x")).alias("known")
     )
-    graph = settle(
+    edges = (
         seeds.unionByName(others)
         .select("x.context", "x.token", "known")
         .where("context <> ''")
         .groupBy("context", "token")
         .agg(F.count(F.lit(1)).alias("places"), F.max("known").alias("known"))
     )
-    trusted: tuple[str, ...] = ()
-    for _ in range(rounds):
-        known = graph.select(
-            "context", "token", "places",
-            (F.col("known") | F.col("context").isin(list(trusted))).alias("known"),
-        ) if trusted else graph
-        # an instance known in one context is known in all
-        tokens = known.groupBy("token").agg(F.max("known").alias("known"))
-        counted = (
-            known.drop("known")
-            .join(tokens, "token")
-            .groupBy("context")
-            .agg(
-                F.count(F.lit(1)).alias("n"),
-                F.count_if("known").alias("n_known"),
-                F.sum("places").alias("places"),
-            )
-            .withColumn("tail", F.regexp_extract("context", r"^\S+ (.*)$", 1))
-        )
-        tails = counted.groupBy("tail").agg(F.sum("n").alias("_all"))
-        scored = (
-            counted.where((F.col("n_known") >= LEAST_KNOWN) & ~F.col("context").isin(list(trusted)))
-            .join(tails, "tail")
-            .where(F.col("n") >= LEAST_SHARE * F.col("_all"))
-            .select("context", "n_known", "places")
-            .orderBy(F.desc("n_known"), "context")
-            .limit(MOST_WEIGHED)
-        )
-        fresh = _precise(docs, settle(scored))
-        if not fresh:
-            break
-        trusted += fresh
-    return Trusted(trusted)
-
-
-def _precise(docs: DataFrame, scored: DataFrame) -> tuple[str, ...]:
-    """Patterns most of whose places in the corpus hold an identifier."""
-    if scored.isEmpty():
-        return ()
-    head = F.regexp_extract("context", r"^(\S+ \S+) ", 1)
-    # at most MOST_WEIGHED rows of at most 64 characters
-    heads = F.broadcast(scored.select(head.alias("head")).distinct())
+    return edges
+
+
+def _head(context: str = "context") -> Column:
+    return F.regexp_extract(context, r"^(\S+ \S+) ", 1)
+
+
+def head_counts(docs: DataFrame) -> DataFrame:
+    """How often two words follow each other, anywhere in the corpus."""
     words = F.split(F.lower(F.coalesce("text", F.lit(""))), r"\s+", -1)
     pairs = let(
         words,
         lambda ws: F.transform(ws, lambda w, i: F.concat(w, F.lit(" "), F.get(ws, i + 1))),
     )
-    places = (
+    return (
         docs.select(F.explode(pairs).alias("head"))
-        .join(heads, "head", "left_semi")
+        .where(F.length("head").between(3, _CONTEXT))
         .groupBy("head")
         .agg(F.count(F.lit(1)).alias("all"))
     )
-    held = scored.select("context", "n_known", "places", head.alias("head"))
-    precise = (
-        held.join(places, "head")
+
+
+def eligible(docs: DataFrame, graph: DataFrame) -> DataFrame:
+    """Contexts that are labels, most of whose places in the corpus hold an identifier."""
+    counted = (
+        graph.groupBy("context")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("places").alias("places"))
+        .withColumn("tail", F.regexp_extract("context", r"^\S+ (.*)$", 1))
+    )
+    tails = counted.groupBy("tail").agg(F.sum("n").alias("_all"))
+    labels = settle(
+        counted.where(F.col("n") >= LEAST_KNOWN)
+        .join(tails, "tail")
+        .where(F.col("n") >= LEAST_SHARE * F.col("_all"))
+        .select("context", "places", _head().alias("head"))
+    )
+    if labels.isEmpty():
+        return labels.select("context")
+    return (
+        labels.join(head_counts(docs), "head")
         .where(F.col("places") >= LEAST_PRECISION * F.col("all"))
-        .orderBy(F.desc("n_known"), "context")
-        .limit(MOST_TRUSTED)
+        .select("context")
+    )
+
+
+def bootstrap(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Trusted contexts; ``found`` holds _base and _found of every row of ``docs``."""
+    graph = settle(graph_of(found))
+    labels = settle(eligible(docs, graph))
+    # an instance known in one context is known in all
+    known = graph.where("known").select("token").distinct()
+    edges = settle(
+        graph.select("context", "token")
+        .join(labels, "context", "left_semi")
+        .join(known.withColumn("known", F.lit(True)), "token", "left")
+        .select("context", "token", F.coalesce("known", F.lit(False)).alias("known"))
+    )
+    trusted = labels.limit(0)
+    n_trusted = 0
+    while True:
+        trusted = settle(
+            edges.groupBy("context")
+            .agg(F.count_if("known").alias("n_known"))
+            .where(F.col("n_known") >= LEAST_KNOWN)
+            .select("context")
+        )
+        n = trusted.count()
+        if n == n_trusted:
+            return trusted
+        n_trusted = n
+        fresh = edges.join(trusted, "context", "left_semi").select("token").distinct()
+        edges = settle(
+            edges.join(fresh.withColumn("fresh", F.lit(True)), "token", "left").select(
+                "context", "token", (F.col("known") | F.col("fresh").isNotNull()).alias("known")
+            )
+        )
+
+
+def _beside(test: Callable[[Column], Column]) -> Column:
+    """Identifiers outside of base spans whose context passes."""
+    return F.filter("_found", lambda x: test(x["context"]) & ~_overlaps(F.col("_base"), x))
+
+
+def with_accepted(marked: DataFrame, trusted: DataFrame, key: Column, constants: int = CONSTANTS) -> DataFrame:
+    """Add ``_ids``: identifiers a trusted pattern stands before, outside of base spans.
+
+    A few patterns are constants of the plan. More are joined: contexts meet
+    patterns, and rows that hold a trusted one get their list by ``key``, which
+    rows with equal spans may share.
+    """
+    few = [r["context"] for r in trusted.take(constants + 1)]
+    if not few:
+        return marked.withColumn("_ids", _beside(lambda _: F.lit(False)))
+    if len(few) <= constants:
+        return marked.withColumn("_ids", _beside(lambda context: context.isin(few)))
+    contexts = marked.select(key.alias("_key"), F.explode("_found.context").alias("context"))
+    held = (
+        contexts.distinct()
+        .join(trusted, "context", "left_semi")
+        .groupBy("_key")
+        .agg(F.collect_list("context").alias("_trusted"))
+    )
+    return (
+        marked.withColumn("_key", key)
+        .join(held, "_key", "left")
+        .withColumn("_ids", _beside(lambda c: F.coalesce(F.array_contains("_trusted", c), F.lit(False))))
+        .drop("_key", "_trusted")
     )
-    return tuple(r["context"] for r in precise.select("context").collect())
 
 
 def _text_of(spans: Column) -> Column:
@@ -313,20 +369,21 @@ def _count(kind: str) -> Column:
     return F.size(F.filter("_base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
 
-def personal_data(docs: DataFrame) -> DataFrame:
+def personal_data(docs: DataFrame, constants: int = CONSTANTS) -> DataFrame:
     """Counts per base kind, the digest of the base spans, and all spans."""
     own = docs.select("doc_id", "text")
-    found = written(find(own).select("doc_id", "_base", "_found"), "spans")
+    row = F.monotonically_increasing_id().alias("_row")
+    found = written(find(own).select(row, "doc_id", "_base", "_found"), "spans")
     trusted = bootstrap(own, found)
-    return found.select(
+    return with_accepted(found, trusted, F.col("_row"), constants).select(
         "doc_id",
         *[_count(kind) for kind in KINDS],
         F.sha2(_text_of(F.col("_base")), 256).alias("base_sha256"),
-        _text_of(F.concat("_base", _accepted(trusted))).alias("spans"),
+        _text_of(F.concat("_base", "_ids")).alias("spans"),
     )
 
 
-def masked(docs: DataFrame) -> DataFrame:
+def masked(docs: DataFrame, constants: int = CONSTANTS) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets.
 
     Of overlapping spans the first names the mask, which covers them all.
@@ -368,10 +425,12 @@ def masked(docs: DataFrame) -> DataFrame:
         return F.concat(F.array_join(pieces, ""), tail)
 
     spans = F.transform(
-        F.concat("_base", _accepted(trusted)),
+        F.concat("_base", "_ids"),
         lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind")),
     )
-    marked = find(boxed(docs, F.col("text"))).withColumn("_spans", F.sort_array(spans))
+    marked = with_accepted(
+        find(boxed(docs, F.col("text"))), trusted, F.sha2(F.col("text"), 256), constants
+    ).withColumn("_spans", F.sort_array(spans))
     clean = F.when(F.size("_spans") == 0, F.col("text")).otherwise(
         let(merged(F.col("_spans")), replaced)
     )

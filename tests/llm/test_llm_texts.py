@@ -259,6 +259,51 @@ def test_contexts_of_seeds_discover_identifiers(spark):
     assert spans[200] == ""
 
 
+def _valid_cards():
+    """Card numbers that pass the check digit, one after the other."""
+    number = 4111111111110000
+    while True:
+        digits = [int(d) for d in str(number)]
+        doubled = [d * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+        if sum(x - 9 * (x > 9) for x in doubled) % 10 == 0:
+            yield number
+        number += 1
+
+
+@pytest.mark.parametrize("constants", [500, 0])
+def test_every_precise_pattern_is_found(spark, constants):
+    """300 patterns, three known instances each, and one that stands in prose."""
+    cards = _valid_cards()
+    rows = []
+    for k in range(300):
+        rows += [(f"see 7 of 12345678 field{k} 0{k} key={next(cards)}", None) for _ in range(3)]
+        rows.append((f"so 7 of field{k} 0{k} key=QX{k}77-88Z", "key=") )
+        rows += [(f"a river runs by {next(cards)} here", None), ("a river runs by itself", None)]
+    rows += [("a river runs by itself", None)] * 3000 + [("it runs by AB123456789C", None)]
+    table = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    spans = {r["doc_id"]: r["spans"] for r in personal_data(table, constants).collect()}
+    for i, (text, mark) in enumerate(rows):
+        if mark:
+            start = text.index(mark) + len(mark)
+            assert spans[i] == f"id:{start}:{len(text)}", text
+    assert spans[len(rows) - 1] == ""
+    hidden = {r["doc_id"]: r["text"] for r in masked(table, constants).collect()}
+    assert all(hidden[i].endswith("key=[ID]") for i, (_, mark) in enumerate(rows) if mark)
+
+
+def test_trust_spreads_until_nothing_new(spark):
+    """Each label is known only by what the label before it discovered."""
+    cards = _valid_cards()
+    rows = [f"alpha label0 no={next(cards)}" for _ in range(3)]
+    for k in range(5):
+        rows += [f"alpha label{k} no=ID{k}00{i}99" for i in range(3)]
+        rows += [f"alpha label{k + 1} no=ID{k}00{i}99" for i in range(3)]
+    rows.append("alpha label5 no=UNSEEN1234")
+    table = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    spans = {r["doc_id"]: r["spans"] for r in personal_data(table).collect()}
+    assert spans[len(rows) - 1] == f"id:{len('alpha label5 no=')}:{len(rows[-1])}"
+
+
 def test_masking_keeps_rows_and_columns(docs):
     rows = masked(docs)
     assert rows.columns == docs.columns and rows.count() == len(TEXTS)
