@@ -4,7 +4,7 @@ Kernel: blended spectrum of presence bits. A text becomes the set of its letter
 1-, 2- and 3-grams over a fixed alphabet; k(x, y) is the number of n-grams two
 texts share, divided by the root of the product of their set sizes.
 
-Nyström: a bounded number of landmark texts L spans the feature map
+Nyström: a few landmark texts L of every language span the feature map
 phi(x) = K(x, L) K(L, L)^(-1/2). Classifier: one-versus-rest kernel ridge
 regression in that space. Scoring: a batch of texts is a presence matrix, whose
 product with the landmarks' presence matrix gives all kernel values at once, and
@@ -21,6 +21,7 @@ answers; an empty table gives no rows; other columns are never looked at.
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,10 +34,11 @@ from pyspark.sql import functions as F
 from stratagate.llm.tables import slices
 
 UNKNOWN = "und"
-#: Bounds of the fit: labelled texts per language (about), languages, landmarks.
-SAMPLE_PER_LANGUAGE = 300
-MOST_LANGUAGES = 64
-LANDMARKS = 128
+#: Bounds of the fit: labelled texts per language (about), fewer when languages are
+#: many, so that all together stay near a total; landmarks, more when languages are
+#: many. Every label is learned: the model grows with their number, not with rows.
+SAMPLE_PER_LANGUAGE, SAMPLE_TOTAL, LEAST_SAMPLE = 300, 19_200, 20
+LANDMARKS, LANDMARKS_PER_LANGUAGE = 128, 2
 RIDGE = 1e-2
 ORDERS = 3
 SIZE = 64 + 64**2 + 64**3
@@ -113,11 +115,15 @@ def train(sets: list[np.ndarray], names: list[str]) -> Model | None:
         return None
     languages = sorted({n for _, n in rows})
     # landmarks take turns among the languages
-    queues = [[s for s, n in rows if n == name] for name in languages]
+    by_name: dict[str, list[np.ndarray]] = {name: [] for name in languages}
+    for found, name in rows:
+        by_name[name].append(found)
+    queues = list(by_name.values())
     chosen, turn = [], 0
-    while len(chosen) < min(LANDMARKS, len(rows)):
+    wanted = max(LANDMARKS, LANDMARKS_PER_LANGUAGE * len(languages))
+    while len(chosen) < min(wanted, len(rows)):
         for queue in queues:
-            if turn < len(queue) and len(chosen) < LANDMARKS:
+            if turn < len(queue) and len(chosen) < wanted:
                 chosen.append(queue[turn])
         turn += 1
     used = np.unique(np.concatenate(chosen))
@@ -137,7 +143,7 @@ def train(sets: list[np.ndarray], names: list[str]) -> Model | None:
     phi = gram.astype(np.float64) @ whiten
     target = np.array([[1.0 if n == name else -1.0 for name in languages] for _, n in rows])
     # every language weighs the same
-    weight = np.array([1.0 / sum(m == n for _, m in rows) for _, n in rows]) * len(rows) / len(languages)
+    weight = np.array([1.0 / len(by_name[n]) for _, n in rows]) * len(rows) / len(languages)
     left = phi.T @ (phi * weight[:, None]) + RIDGE * len(rows) * np.eye(phi.shape[1]) / phi.shape[1]
     ridge = np.linalg.solve(left, phi.T @ (target * weight[:, None]))
     model.weights = (whiten @ ridge).astype(np.float32)
@@ -152,12 +158,13 @@ def held_out() -> Column:
 def fit(docs: DataFrame) -> Model | None:
     """Model from a bounded sample of labelled rows, spread by a hash of the id."""
     learn = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counted = learn.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    # one row per class of the model
+    counted = {r["lang"]: r["count"] for r in learn.groupBy("lang").count().collect()}
+    most = min(SAMPLE_PER_LANGUAGE, max(LEAST_SAMPLE, SAMPLE_TOTAL // max(1, len(counted))))
     at = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("language")), F.lit(1 << 30))
-    wanted = F.lit(False)
-    for row in counted.collect():
-        share = min(1.0, SAMPLE_PER_LANGUAGE / row["count"])
-        wanted = wanted | ((F.col("lang") == row["lang"]) & (at < int(share * (1 << 30))))
+    cut = {n: (1 << 30) * min(1.0, most / count) for n, count in counted.items()}
+    below = F.from_json(F.lit(json.dumps({n: int(x) for n, x in cut.items()})), "map<string,bigint>")
+    wanted = F.coalesce(at < F.element_at(below, F.col("lang")), F.lit(False))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches):

@@ -95,7 +95,7 @@ def reduce_instance(counts: np.ndarray, capacity: int) -> list[Pattern]:
                 break
             if partner == size:
                 # a pair of equals stays dominating while the counts only shrink
-                times = int(counts[size]) // 2 if partner == room else 1
+                times = int(counts[size]) // 2
                 fixed.append(Pattern(times, room - size, [(size, 2)]))
                 counts[size] -= 2 * times
             else:

@@ -9,6 +9,10 @@ which are not white space: no rule of the supported files joins characters
 across it, and none looks further than the next character. Other white space
 stays inside its piece and is left to the library. Plain words of Latin letters,
 which the splitting rule never divides, go straight to the library's model.
+
+The library stays at its default, by which a special token written in a text, such
+as ``<|endoftext|>``, is one id. A special token may strip the white space beside it
+or stand across a cut, so a text that holds one goes to the library whole.
 """
 
 from __future__ import annotations
@@ -108,16 +112,26 @@ class PieceEncoder:
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
         # without a normalizer, white space belongs to the token that follows it
         keeps_space = described["normalizer"] is None
         self.pieces = _Pieces(self.library, keeps_space)
+        self.added = self._added(described["added_tokens"])
+
+    @staticmethod
+    def _added(tokens: list[dict]) -> re.Pattern | None:
+        """Finds any token the library takes out of a text before it splits the rest."""
+        # those found after normalization may be written in another case
+        flags = re.IGNORECASE if any(t["normalized"] for t in tokens) else 0
+        literals = sorted((t["content"] for t in tokens), key=len, reverse=True)
+        return re.compile("|".join(map(re.escape, literals)), flags) if literals else None
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if self.added and self.added.search(text):
+            return self.pieces.whole(text)
         if text[0] in " \n" or text[-1] in " \n" or any(x in text for x in _ODD):
             return b"".join([self._apart(piece) for piece in _CUT.split(text)])
         first, *rest = text.replace("\n", " \n").split(" ")

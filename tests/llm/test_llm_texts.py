@@ -1,6 +1,7 @@
 """Operators on single texts against brute force, over awkward rows."""
 
 import hashlib
+import json
 import random
 import re
 import zlib
@@ -60,9 +61,14 @@ def in_order(rows, *columns):
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_pieces_give_the_ids_of_the_library(name):
     known = PieceEncoder(public_tokenizers.path(name))
+    library = Tokenizer.from_file(public_tokenizers.path(name))
     odd = ["a \n b", "x\x1cy z", "\n a", "a\nB c", " a 's b", "İstanbul ẞ", "a b", "\r\n", "A.\nB! C"]
+    special = [t["content"] for t in json.loads(library.to_str())["added_tokens"]]
+    assert special
+    for token in special:
+        odd += [token, f"a {token} b", f"a{token}b\n{token} {token}", token.upper(), token[:-1], f"a\n {token}\n b" * 50]
     for text in [t or "" for _, t in TEXTS] + odd:
-        expected = known.library.encode(text, add_special_tokens=False).ids
+        expected = library.encode(text, add_special_tokens=False).ids
         for _ in range(2):  # the second time from memory
             assert np.frombuffer(known.encode(text), "<u4").tolist() == expected, repr(text[:50])
 
@@ -70,7 +76,6 @@ def test_pieces_give_the_ids_of_the_library(name):
 def test_token_files_read_back(docs, empty):
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
     got = sorted(token_documents(docs, path, end_id=2).collect(), key=lambda r: r["start"])
     assert [r["doc_id"] for r in got] == [None, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 10, 12, 13]
     texts = dict(TEXTS)
@@ -95,11 +100,21 @@ def test_one_document_is_read_by_its_id(spark, docs):
         BlockReader(blocks[0], b"another")
 
 
+def test_equal_sizes_are_packed_together():
+    """A million equal pieces take as many patterns as a few, and as many sequences as due."""
+    for size in (1, 700, 900, 1024, 2000):
+        counts = np.zeros(2049, dtype=np.int64)
+        counts[size] = 1_000_001
+        patterns = pack(counts, 2048)
+        assert len(patterns) <= 4
+        assert sum(p.times * sum(n for _, n in p.runs) for p in patterns) == 1_000_001
+        assert sum(p.times for p in patterns) == -(-1_000_001 // (2048 // size))
+
+
 @pytest.mark.parametrize("capacity", [2048, 37])
 def test_packing_is_whole_and_no_worse_than_first_fit(docs, empty, capacity):
     path = public_tokenizers.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
     rows = pack_documents(docs, path, 0, capacity).collect()
     expected = []
     for doc_id, text in TEXTS:
@@ -313,6 +328,17 @@ def test_masking_keeps_rows_and_columns(docs):
     assert "example.com" not in found[7] and "[IP] 10.0.0.256" in found[7]
 
 
+def test_every_label_is_learned(spark):
+    """90 labels, each with words of its own; the rarest has two texts."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [letters[k % 26] + letters[(k // 26 + 3 * k) % 26] + letters[(5 * k + 1) % 26] for k in range(90)]
+    rows = [(100 * k + i, f"{words[k]} " * (5 + i), f"l{k}") for k in range(90) for i in range(12 if k else 3)]
+    got = {r["doc_id"]: r for r in languages(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert len(set(words)) == 90
+    right = sum(got[i]["lang_pred"] == lang for i, _, lang in rows)
+    assert right >= 0.95 * len(rows) and {r["lang_pred"] for r in got.values()} >= {f"l{k}" for k in range(1, 90)}
+
+
 def test_languages(spark, docs, empty):
     english = "the river and the house of the stone were old when they came".split()
     german = "der fluss und das haus aus stein waren alt als sie kamen über".split()
