@@ -337,7 +337,7 @@ class Survey:
             undecoded.alias("_undecoded"), not_utf8.alias("_not_utf8"), not_ascii.alias("_not_ascii"),
             F.posexplode(F.split(body, "\r")).alias("_place", "_raw"),
         )
-        text = decoded(F.col("_raw"), lines.sparkSession, dialect.encoding)
+        text = decoded(F.col("_raw"), dialect.encoding)
         seen = cut.withColumn("_seen", has_text(F.col("_raw"))).withColumn("value", text)
         layout = ", ".join(f"`{c}` string" for c in self.columns)
         options = {"sep": dialect.separator, "quote": dialect.quote, "escape": dialect.escape}

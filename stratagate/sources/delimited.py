@@ -12,7 +12,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 from stratagate import vocabulary as v
 from stratagate.contract import Contract, Dialect
 from stratagate.functions.lineage import lineage
-from stratagate.session import settings
 
 LINE = "_malformed_line"
 PART = "_part"
@@ -48,16 +47,33 @@ def has_text(line: Column) -> Column:
     return line.rlike("[^\\x00-\\x20]")
 
 
-def _any_charset(spark: SparkSession):
-    """Decoding windows-1252 is refused unless Java's charsets are wanted."""
-    return settings(spark, spark__sql__legacy__javaCharsets="true")
+#: Bytes that windows-1252 reads otherwise than ISO-8859-1, and what it reads there.
+_SHIFTED = "".join(map(chr, range(0x80, 0xA0)))
+_WINDOWS = _SHIFTED.encode("iso-8859-1").decode("windows-1252", errors="replace")
+
+
+def _as_read(text: str, encoding: str) -> str:
+    """A separator or quote as the reader's charset shows its byte."""
+    if encoding != "windows-1252":
+        return text
+    return text.translate(str.maketrans(_WINDOWS, _SHIFTED))
+
+
+def _recoded(text: Column, encoding: str) -> Column:
+    """Text the reader took as ISO-8859-1, by its declared charset.
+
+    Spark decodes windows-1252 only in a session told to allow all of Java's charsets.
+    Both charsets have one byte per character and the same line ends, so the text is
+    read as ISO-8859-1, and the characters that differ are put in their place.
+    """
+    return F.translate(text, _SHIFTED, _WINDOWS) if encoding == "windows-1252" else text
 
 
 def reader_options(dialect: Dialect) -> dict[str, str]:
     return {
-        "sep": dialect.separator,
-        "quote": dialect.quote,
-        "escape": dialect.escape,
+        "sep": _as_read(dialect.separator, dialect.encoding),
+        "quote": _as_read(dialect.quote, dialect.encoding),
+        "escape": _as_read(dialect.escape, dialect.encoding),
         "encoding": v.CHARSETS[dialect.encoding],
         "header": str(dialect.header).lower(),
         "mode": "PERMISSIVE",
@@ -80,10 +96,6 @@ def scan_rows(
     """Every column as text; a line of the wrong width keeps its text in LINE."""
     columns = [f.name for f in contract.source_fields] + [LINE]
     schema = StructType([StructField(c, StringType()) for c in columns])
-    if contract.dialect.encoding == "windows-1252":
-        # Spark refuses this charset unless told that it is wanted, and asks again
-        # when the scan runs: for this one the session has to stay told
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     rows = (
         spark.read.schema(schema)
         .options(**reader_options(contract.dialect))
@@ -91,10 +103,10 @@ def scan_rows(
     )
     # the CSV reader refuses a plan that asks for the malformed line alone, so a
     # data column takes part in it
-    first = F.col(columns[0])
+    first, encoding = F.col(columns[0]), contract.dialect.encoding
     return rows.select(
-        *columns[:-1],
-        F.when(first.isNull() | first.isNotNull(), F.col(LINE)).alias(LINE),
+        *[_recoded(F.col(c), encoding).alias(c) for c in columns[:-1]],
+        F.when(first.isNull() | first.isNotNull(), _recoded(F.col(LINE), encoding)).alias(LINE),
         source_part(folder, contract.split_parts).alias(PART),
     )
 
@@ -112,12 +124,11 @@ def scan_lines(
     )
 
 
-def decoded(line: Column, spark: SparkSession, encoding: str) -> Column:
+def decoded(line: Column, encoding: str) -> Column:
     """Text of a line the text reader took as UTF-8, by its declared charset."""
     if encoding == "utf-8":
         return line
-    with _any_charset(spark):
-        return F.decode(line.cast("binary"), v.CHARSETS[encoding])
+    return _recoded(F.decode(line.cast("binary"), v.CHARSETS[encoding]), encoding)
 
 
 def measured_lines(
@@ -132,7 +143,7 @@ def measured_lines(
     first = F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id())
     seen = lines.where(has_text(F.col("value"))).select(
         source_part(folder, split).alias("part"),
-        decoded(F.col("value"), spark, encoding).alias("value"),
+        decoded(F.col("value"), encoding).alias("value"),
         first.alias("_at"),
     )
     return seen.groupBy("part").agg(

@@ -56,11 +56,12 @@ DATE = "data"
 
 DATE_TOKENS = {"AAAA": "yyyy", "MM": "MM", "DD": "dd"}
 
-# --- Fixed values: character sets (contract word -> Spark name) ------------
+# --- Fixed values: character sets (contract word -> the one Spark reads) ----
+# windows-1252 is read as ISO-8859-1 and put right by sources.delimited
 CHARSETS = {
     "utf-8": "UTF-8",
     "iso-8859-1": "ISO-8859-1",
-    "windows-1252": "windows-1252",
+    "windows-1252": "ISO-8859-1",
 }
 
 # --- Fixed values: lineage columns ----------------------------------------

@@ -64,6 +64,31 @@ def test_encodings(spark, tmp_path, encoding, data, text):
     assert scan(spark, tmp_path, contract).first().a == text
 
 
+def test_windows_bytes_are_read_in_an_untold_session(spark, tmp_path):
+    """Every byte that is not a line end, in well-formed and malformed lines, under any separator."""
+    key = "spark.sql.legacy.javaCharsets"
+    before = spark.conf.get(key, None)
+    high = bytes(range(0x80, 0x100))
+    shown = high.decode("windows-1252", errors="replace")
+    for mark, sep in ((b";", ";"), (b"\x80", "€")):
+        body = high.replace(mark, b"")
+        text = shown.replace(sep, "")
+        folder = tmp_path / str(len(mark) + ord(sep))
+        folder.mkdir()
+        (folder / "f.csv").write_bytes(body + mark + b"2" + mark + body + b"\n" + body + b"\n")
+        contract = Contract(
+            "o", "b", "e", fields=PLAIN.fields,
+            dialect=Dialect(header=False, encoding="windows-1252", separator=sep),
+        )
+        rows = delimited.scan_rows(spark, contract, str(folder), str(folder)).collect()
+        good = next(r for r in rows if r[delimited.LINE] is None)
+        assert [good[i] for i in range(3)] == [text, "2", text]
+        assert [r[delimited.LINE] for r in rows if r[delimited.LINE] is not None] == [text]
+        first = delimited.measured_lines(spark, str(folder), str(folder), "windows-1252").first()
+        assert (first.value, first.physical) == (f"{text}{sep}2{sep}{text}", 2)
+    assert spark.conf.get(key, None) == before
+
+
 def test_absent_column_stays_null(spark, tmp_path):
     write(tmp_path, "f.csv", "1;2;3\n")
     contract = Contract("o", "b", "e", fields=(*PLAIN.fields[:1], Field("gone", absent=True), *PLAIN.fields[1:]), dialect=Dialect(header=False))
