@@ -12,8 +12,9 @@ fixed pattern knows. On the graph of patterns and instances,
 3. the instances of trusted patterns become known, wherever else they occur, and
    step 2 is taken again until it trusts nothing new.
 
-All of it is DataFrame work. Patterns and instances stay tables of any size; how
-often words stand anywhere is counted in one pass, summed before it is joined.
+All of it is DataFrame work. Patterns and instances stay tables of any size. How
+often words stand anywhere is counted over the whole corpus, for those patterns that
+a count over a part of it, which is never the larger one, has not ruled out.
 A pattern is at most ``_CONTEXT`` characters long, other identifiers included.
 
 The regular expressions are the contract's with possessive repeats and a test of
@@ -53,6 +54,11 @@ LEAST_KNOWN, LEAST_PRECISION = 3, 0.8
 LEAST_SHARE = 0.2
 #: Up to so many trusted patterns are looked up as constants, more are joined.
 CONSTANTS = 500
+#: Up to so many pairs of words are broadcast, at most 256 bytes each; for more, all
+#: pairs of the corpus are summed before they meet them.
+BROADCAST = 100_000
+#: Patterns are first held against one of so many parts of the corpus.
+PARTS = 16
 _CONTEXT = 64
 _BLOCK = 256
 
@@ -252,22 +258,22 @@ def _head(context: str = "context") -> Column:
     return F.regexp_extract(context, r"^(\S+ \S+) ", 1)
 
 
-def head_counts(docs: DataFrame) -> DataFrame:
-    """How often two words follow each other, anywhere in the corpus."""
+def head_counts(docs: DataFrame, heads: DataFrame, broadcast: int = BROADCAST) -> DataFrame:
+    """How often the two words of each head follow each other, anywhere in ``docs``."""
     words = F.split(F.lower(F.coalesce("text", F.lit(""))), r"\s+", -1)
     pairs = let(
         words,
         lambda ws: F.transform(ws, lambda w, i: F.concat(w, F.lit(" "), F.get(ws, i + 1))),
     )
-    return (
-        docs.select(F.explode(pairs).alias("head"))
-        .where(F.length("head").between(3, _CONTEXT))
-        .groupBy("head")
-        .agg(F.count(F.lit(1)).alias("all"))
-    )
+    found = docs.select(F.explode(pairs).alias("head")).where(F.length("head") <= _CONTEXT)
+    few = heads.count() <= broadcast
+    if few:
+        found = found.join(F.broadcast(heads), "head", "left_semi")
+    counted = found.groupBy("head").agg(F.count(F.lit(1)).alias("all"))
+    return counted if few else counted.join(heads, "head", "left_semi")
 
 
-def eligible(docs: DataFrame, graph: DataFrame) -> DataFrame:
+def eligible(docs: DataFrame, graph: DataFrame, broadcast: int = BROADCAST) -> DataFrame:
     """Contexts that are labels, most of whose places in the corpus hold an identifier."""
     counted = (
         graph.groupBy("context")
@@ -281,13 +287,18 @@ def eligible(docs: DataFrame, graph: DataFrame) -> DataFrame:
         .where(F.col("n") >= LEAST_SHARE * F.col("_all"))
         .select("context", "places", _head().alias("head"))
     )
-    if labels.isEmpty():
-        return labels.select("context")
-    return (
-        labels.join(head_counts(docs), "head")
-        .where(F.col("places") >= LEAST_PRECISION * F.col("all"))
-        .select("context")
-    )
+    part = F.pmod(F.xxhash64("text"), F.lit(PARTS)) == 0
+    for counted_in, kept in ((docs.where(part), "left"), (docs, "inner")):
+        if labels.isEmpty():
+            break
+        # a head that a part does not hold is not ruled out by it
+        counts = head_counts(counted_in, labels.select("head").distinct(), broadcast)
+        labels = settle(
+            labels.join(counts, "head", kept)
+            .where(F.col("places") >= LEAST_PRECISION * F.coalesce("all", F.lit(0)))
+            .select("context", "places", "head")
+        )
+    return labels.select("context")
 
 
 def bootstrap(docs: DataFrame, found: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 from stratagate.llm.langid import accepted, languages
 from stratagate.llm.packing import pack, pack_documents, reduce_instance
-from stratagate.llm.pii import masked, personal_data
+from stratagate.llm.pii import head_counts, masked, personal_data
 from stratagate.llm.quality import judge
 from stratagate.llm.rendering import render, rendered
 from stratagate.llm.token_files import BlockReader, token_documents, write_blocks
@@ -306,6 +306,15 @@ def test_every_precise_pattern_is_found(spark, constants):
     assert all(hidden[i].endswith("key=[ID]") for i, (_, mark) in enumerate(rows) if mark)
 
 
+@pytest.mark.parametrize("broadcast", [100, 0])
+def test_heads_are_counted_in_every_text(spark, broadcast):
+    texts = ["See  see the\nRiver", "the river the river", None, "", "see the", " the river "] * 3
+    table = spark.createDataFrame([(t,) for t in texts], "text string")
+    heads = spark.createDataFrame([("the river",), ("see the",), ("no such",)], "head string")
+    got = {r["head"]: r["all"] for r in head_counts(table, heads, broadcast).collect()}
+    assert got == {"the river": 12, "see the": 6}
+
+
 def test_trust_spreads_until_nothing_new(spark):
     """Each label is known only by what the label before it discovered."""
     cards = _valid_cards()
