@@ -370,6 +370,8 @@ def near_duplicates(
 OVER, UNDER, SIMILAR_SHINGLE = 4, 5, 5
 #: Counters that tell common shingles from rare ones, and how many travel as one row.
 COUNTERS, COUNTER_BLOCK = 1 << 20, 1 << 14
+#: Buckets of the widest sketch of a shingle set.
+MOST_BUCKETS = 4096
 
 
 def gram_set(text: bytes | None) -> np.ndarray:
@@ -517,28 +519,91 @@ def pairs_between(rows: DataFrame) -> DataFrame:
     )
 
 
-def similar_pairs(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of some (u, v), named by their rows, whose texts are similar."""
-    pairs = settle(pairs)
-    ends = pairs.select(F.col("u").alias("_row")).union(pairs.select("v")).distinct()
-    ends = broadcast_if_small(settle(ends))
-    texts = docs.select(row_key(), "text").join(ends, "_row", "left_semi").dropDuplicates(["_row"])
+def sketch(own: np.ndarray) -> bytes:
+    """How many of a set's hashes fall into each of some buckets, one byte each.
+
+    Two to four hashes share a bucket until there are ``MOST_BUCKETS``; a count of 255
+    stands for any higher one.
+    """
+    width = min(max(64, 1 << (len(own) // 4).bit_length()), MOST_BUCKETS)
+    counts = np.bincount((own % np.uint64(width)).astype(np.int64), minlength=width)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def sketches_allow(size: int, one: bytes, other_size: int, other: bytes) -> bool:
+    """Whether sets of these sizes and sketches can be similar; never False if they are.
+
+    A bucket holds no more shared hashes than the lesser of its counts. Buckets of
+    the wider sketch are summed into those of the narrower.
+    """
+    a, b = np.frombuffer(one, np.uint8), np.frombuffer(other, np.uint8)
+    if a.max() == 255 or b.max() == 255:
+        return True
+    width = min(len(a), len(b))
+    a, b = (x.reshape(-1, width).sum(axis=0, dtype=np.int64) for x in (a, b))
+    return (OVER + UNDER) * int(np.minimum(a, b).sum()) >= OVER * (size + other_size)
+
+
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """(_row, size, sketch, set) of every text."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches):
-            sets = [gram_set(t).view(np.int64) for t in text_bytes(rows.column(1))]
+            sets = [gram_set(t) for t in text_bytes(rows.column(1))]
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(sets, pa.list_(pa.int64()))], ["_row", "set"]
+                [
+                    rows.column(0),
+                    pa.array([len(x) for x in sets], pa.int32()),
+                    pa.array([sketch(x) for x in sets], pa.binary()),
+                    pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())),
+                ],
+                ["_row", "size", "sketch", "set"],
             )
 
-    sets = written(texts.mapInArrow(of, "_row long, set array<long>"), "shingle-sets")
-    one = sets.select(F.col("_row").alias("u"), F.col("set").alias("_a"))
-    other = sets.select(F.col("_row").alias("v"), F.col("set").alias("_b"))
-    shared = F.size(F.array_intersect("_a", "_b"))
+    return texts.select("_row", "text").mapInArrow(
+        of, "_row long, size int, sketch binary, set array<long>"
+    )
+
+
+def _both_ends(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
+    """Settled (u, v) with columns of both texts, named u_ and v_; only sets that pairs name move."""
+    firsts = sets.select(F.col("_row").alias("u"), *[F.col(c).alias(f"u_{c}") for c in columns])
+    seconds = sets.select(F.col("_row").alias("v"), *[F.col(c).alias(f"v_{c}") for c in columns])
+    named = broadcast_if_small(settle(pairs.select("v").distinct()))
+    return firsts.join(broadcast_if_small(pairs), "u").join(
+        seconds.join(named, "v", "left_semi"), "v"
+    )
+
+
+def allowed_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of some settled (u, v) that their sketches do not rule out."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in slices(batches, 4096):
+            told = zip(*[c.to_pylist() for c in rows.columns[2:]], strict=True)
+            kept = pa.array([sketches_allow(*x) for x in told], pa.bool_())
+            yield rows.select(["u", "v"]).filter(kept)
+
+    met = _both_ends(pairs, sets, "size", "sketch")
+    return met.select("u", "v", "u_size", "u_sketch", "v_size", "v_sketch").mapInArrow(of, "u long, v long")
+
+
+def similar_pairs(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of some (u, v), named by their rows, whose texts are similar.
+
+    Sketches, a small part of a set in bytes, rule most other pairs out; the whole
+    sets of those left decide.
+    """
+    pairs = settle(pairs)
+    ends = pairs.select(F.col("u").alias("_row")).union(pairs.select("v")).distinct()
+    ends = broadcast_if_small(settle(ends))
+    texts = docs.select(row_key(), "text").join(ends, "_row", "left_semi").dropDuplicates(["_row"])
+    sets = written(shingle_sets(texts), "shingle-sets")
+    likely = settle(allowed_pairs(pairs, sets))
+    shared = F.size(F.array_intersect("u_set", "v_set"))
     return settle(
-        pairs.join(one, "u")
-        .join(other, "v")
-        .where((OVER + UNDER) * shared >= OVER * (F.size("_a") + F.size("_b")))
+        _both_ends(likely, sets, "set")
+        .where((OVER + UNDER) * shared >= OVER * (F.size("u_set") + F.size("v_set")))
         .select("u", "v")
     )
 

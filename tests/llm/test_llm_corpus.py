@@ -177,6 +177,25 @@ def kept_by_force(rows):
     return sorted({root: rows[root][0] for root in roots}.values())
 
 
+@pytest.mark.parametrize("buckets", [4096, 64, 2])
+def test_sketches_never_rule_out_similar_sets(monkeypatch, buckets):
+    monkeypatch.setattr(simhash, "MOST_BUCKETS", buckets)
+    rng, ruled_out = np.random.default_rng(7), 0
+    for _ in range(600):
+        size = int(rng.choice([1, 2, 9, 60, 300, 2100, 9000]))
+        held = rng.integers(0, 2**64, size, dtype=np.uint64)
+        mine, theirs = held[rng.random(size) < rng.choice([0.5, 0.9, 0.97, 1.0])], held
+        theirs = np.r_[theirs, rng.integers(0, 2**64, int(rng.integers(0, size)), dtype=np.uint64)]
+        mine = mine if len(mine) else held
+        a, b = np.unique(mine), np.unique(theirs)
+        shared = len(np.intersect1d(a, b))
+        similar = shared >= 0.8 * (len(a) + len(b) - shared)
+        allowed = simhash.sketches_allow(len(a), simhash.sketch(a), len(b), simhash.sketch(b))
+        assert allowed or not similar
+        ruled_out += not allowed
+    assert ruled_out > 100
+
+
 @pytest.mark.parametrize("block", [20_000, 5])
 def test_links_behind_a_dissimilar_hub_are_found(spark, monkeypatch, block):
     monkeypatch.setattr(simhash, "BLOCK", block)
