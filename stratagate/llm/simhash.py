@@ -40,6 +40,8 @@ from stratagate.operators.sizing import broadcast_if_small
 from stratagate.session import settle, written
 
 SEED = 42
+#: Words of a shingle of a fingerprint.
+SHINGLE = 3
 #: Fingerprints under one value of a part before it is split into blocks.
 BLOCK = 20_000
 #: Work of sending one probe and of comparing one pair, in the same unit.
@@ -349,7 +351,7 @@ def link_fingerprints(
 
 
 def near_duplicates(
-    docs: DataFrame, shingle: int = 3, radius: int = 3, choices: Sequence[int] = (2, 3, 4)
+    docs: DataFrame, shingle: int = SHINGLE, radius: int = 3, choices: Sequence[int] = (2, 3, 4)
 ) -> DataFrame:
     """doc_id, fingerprint (hex) and component_id (its least doc_id) of every row."""
     marked = written(fingerprints(docs, shingle), "fingerprints")
@@ -372,6 +374,9 @@ OVER, UNDER, SIMILAR_SHINGLE = 4, 5, 5
 COUNTERS, COUNTER_BLOCK = 1 << 20, 1 << 14
 #: Buckets of the widest sketch of a shingle set.
 MOST_BUCKETS = 4096
+#: Texts of other groups that a text meets in one round, and the share of such pairs
+#: that must be similar for another round.
+NEXT, LEAST_GAIN = 4, 0.1
 
 
 def gram_set(text: bytes | None) -> np.ndarray:
@@ -459,6 +464,21 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[np.ndarray]:
         yield held
 
 
+def fingerprint_links(
+    prints: DataFrame, radius: int = 3, choices: Sequence[int] = (2, 3, 4)
+) -> DataFrame:
+    """(u, v): links that connect all nodes whose fingerprints ``fp`` are within the radius."""
+    distinct = settle(
+        prints.groupBy("fp").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n"))
+    )
+    several = broadcast_if_small(settle(distinct.where("n > 1").select("fp", "least")))
+    equal = prints.join(several, "fp").where("node != least").select("least", "node")
+    ends = [distinct.select(F.col("fp").alias(k), F.col("least").alias(f"_{k}")) for k in "uv"]
+    found = link_fingerprints(distinct, radius, choices).join(ends[0], "u").join(ends[1], "v")
+    both = equal.toDF("u", "v").unionByName(found.select(F.col("_u").alias("u"), F.col("_v").alias("v")))
+    return both.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+
+
 def shared_tokens(rows: DataFrame) -> DataFrame:
     """Prefix rows whose token several texts hold.
 
@@ -486,6 +506,33 @@ def shared_tokens(rows: DataFrame) -> DataFrame:
     )
 
 
+def neighbours(rows: DataFrame) -> DataFrame:
+    """(u, v): texts and the next of other groups that share a token and can be similar."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in _runs(batches, 1):
+            token, size, node, pos, group = found.T
+            new = np.r_[True, (token[1:] != token[:-1]) | (group[1:] != group[:-1])]
+            after = np.r_[np.flatnonzero(new)[1:], len(token)][np.cumsum(new) - 1]
+            for step in range(NEXT):
+                own = np.flatnonzero(after + step < len(token))
+                other = after[own] + step
+                met = (token[own] == token[other]) & (group[own] != group[other])
+                met &= _possible(size[own], pos[own], size[other], pos[other])
+                one, two = node[own[met]], node[other[met]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], ["u", "v"]
+                )
+
+    return (
+        rows.select("token", "size", "node", "pos", "group")
+        .repartition(task_count(rows.sparkSession), "token")
+        .sortWithinPartitions("token", "size", "node")
+        .mapInArrow(of, "u long, v long")
+        .distinct()
+    )
+
+
 def pairs_between(rows: DataFrame) -> DataFrame:
     """(u, v): texts of different groups that share a token and can be similar."""
 
@@ -608,20 +655,31 @@ def similar_pairs(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
-def similar_links(docs: DataFrame, texts: DataFrame) -> DataFrame:
+def similar_links(docs: DataFrame, texts: DataFrame, prints: DataFrame) -> DataFrame:
     """(u, v): links that connect all similar texts; every link is decided exactly.
 
-    First neighbours under a shared shingle are compared. Then what their links
-    leave in different groups is compared with all it shares a shingle with, so
-    that a large group never costs all its pairs.
+    First texts whose fingerprints (node, fp) are within the radius are compared, and
+    neighbours under a shared shingle. Then neighbours of different groups are, in
+    rounds, as long as they join many. What is left in different groups at last is
+    compared with all it shares a shingle with, so that a large group never costs
+    all its pairs.
     """
     rows = written(shared_tokens(prefixes(texts, commonness(docs))), "shared-shingles")
     near = rows.where(F.col("before").isNotNull())
     near = near.select(F.least("node", "before").alias("u"), F.greatest("node", "before").alias("v"))
-    first = similar_pairs(docs, near.distinct())
-    roots = broadcast_if_small(settle(components(first)))
-    grouped = rows.join(roots, "node", "left").withColumn("group", F.coalesce("root", "node"))
-    return first.unionByName(similar_pairs(docs, pairs_between(grouped)))
+    links = similar_pairs(docs, fingerprint_links(prints).unionByName(near).distinct())
+
+    def grouped() -> DataFrame:
+        roots = broadcast_if_small(settle(components(links)))
+        return rows.join(roots, "node", "left").withColumn("group", F.coalesce("root", "node"))
+
+    gained = True
+    while gained:
+        met = settle(neighbours(grouped()))
+        more = similar_pairs(docs, met)
+        gained = more.count() > LEAST_GAIN * met.count()
+        links = settle(links.unionByName(more))
+    return links.unionByName(similar_pairs(docs, pairs_between(grouped())))
 
 
 def row_key() -> Column:
@@ -633,30 +691,34 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates, that of the least doc_id.
 
     Groups are chained: texts are linked at a Jaccard similarity of 0.8 or more of
-    their distinct five-word shingles. Equal rows count as one. Columns are kept.
+    their distinct five-word shingles. Links come from SimHash fingerprints, found as
+    in ``near_duplicates`` and decided exactly; similar texts whose fingerprints are
+    farther apart are found by their shingles. Equal rows count as one. Columns are kept.
     """
     keyed = docs.select("doc_id", "text", row_key())
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches):
-            found = [xxhash.xxh3_128_digest(gram_set(t).tobytes()) for t in text_bytes(rows.column(1))]
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0), rows.column(2), pa.array(found, pa.binary())], ["doc_id", "_row", "fp"]
-            )
-
-    # texts of equal sets share fp, and the least of their rows stands for them
-    marked = written(keyed.mapInArrow(of, "doc_id long, _row long, fp binary"), "fingerprints")
-    named = settle(marked.groupBy("fp").agg(F.min("_row").alias("node"), F.count(F.lit(1)).alias("n")))
+            texts = text_bytes(rows.column(1))
+            same = [xxhash.xxh3_128_digest(gram_set(t).tobytes()) for t in texts]
+            prints = [fingerprint(shingle_hashes(t, SHINGLE)) for t in texts]
+            columns = [rows.column(0), rows.column(2), pa.array(same, pa.binary()), pa.array(prints, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "_row", "same", "fp"])
+
+    # texts of equal sets share a name, and the least of their rows stands for them
+    marked = written(keyed.mapInArrow(of, "doc_id long, _row long, same binary, fp binary"), "fingerprints")
+    named = marked.groupBy("same").agg(F.min(F.struct("_row", "fp")).alias("_least"), F.count(F.lit(1)).alias("n"))
+    named = settle(named.select("same", F.col("_least._row").alias("node"), F.col("_least.fp").alias("fp"), "n"))
     several = named.where("n > 1")
-    copies = broadcast_if_small(settle(marked.join(several, "fp", "left_semi").select("_row").distinct()))
+    copies = broadcast_if_small(settle(marked.join(several, "same", "left_semi").select("_row").distinct()))
     stand = broadcast_if_small(settle(several.select(F.col("node").alias("_row"))))
     texts = keyed.select("_row", "text")
     texts = texts.join(copies, "_row", "left_anti").unionByName(
         texts.join(stand, "_row", "left_semi").dropDuplicates(["_row"])
     )
-    roots = components(similar_links(docs, texts))
-    rooted = named.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("root"))
-    grouped = marked.join(rooted, "fp").select("doc_id", "_row", "root")
+    roots = components(similar_links(docs, texts, named.select("node", "fp")))
+    rooted = named.join(roots, "node", "left").select("same", F.coalesce("root", "node").alias("root"))
+    grouped = marked.join(rooted, "same").select("doc_id", "_row", "root")
     grouped = written(grouped, "groups")
     order = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "_row")
     winners = grouped.groupBy("root").agg(F.min(order).alias("_best"))

@@ -410,3 +410,42 @@ def test_every_numbered_query_is_registered():
     numbers = {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES}
     assert numbers == set(range(1, 11))
     assert "pipeline" in entry.queries()
+
+
+def near_copies(count, edits):
+    base, rows = prose(600, 150).split(), []
+    for i in range(count):  # every text is similar to many others, hardly one to all
+        words, draw = list(base), random.Random(i)
+        for at in draw.sample(range(30), edits):
+            words[at * 5] = f"own{i}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def test_fingerprint_links_connect_all_within_three_bits(spark, texts):
+    prints = [fingerprint(t) for _, t in texts]
+    rows = [(i, p.to_bytes(8)) for i, p in enumerate(prints)]
+    found = simhash.fingerprint_links(spark.createDataFrame(rows, "node long, fp binary")).collect()
+    assert all((prints[r["u"]] ^ prints[r["v"]]).bit_count() <= 3 for r in found)
+    linked = {(r["u"], r["v"]) for r in found}
+    expected = groups(len(rows), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 3)
+    assert groups(len(rows), lambda i, j: (j, i) in linked) == expected
+    empty = spark.createDataFrame([], "node long, fp binary")
+    assert simhash.fingerprint_links(empty).count() == 0
+
+
+def test_deduplicated_compares_what_fingerprints_link(spark, monkeypatch):
+    rows, told = near_copies(12, 1), []
+    links = simhash.link_fingerprints
+    monkeypatch.setattr(simhash, "link_fingerprints", lambda *a, **b: told.append(links(*a, **b)) or told[-1])
+    assert sorted(r["doc_id"] for r in deduplicated(table(spark, rows)).collect()) == kept_by_force(rows)
+    assert told and told[0].count() > 0
+    assert deduplicated(table(spark, rows).limit(0)).count() == 0
+
+
+def test_a_group_of_near_copies_never_costs_all_its_pairs(spark, monkeypatch):
+    rows, met = near_copies(160, 2) + [(200, prose(601, 150))], []
+    between = simhash.pairs_between
+    monkeypatch.setattr(simhash, "pairs_between", lambda x: met.append(between(x)) or met[-1])
+    assert sorted(r["doc_id"] for r in deduplicated(table(spark, rows)).collect()) == kept_by_force(rows)
+    assert met[0].count() < 160
