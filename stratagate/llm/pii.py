@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratagate.llm.tables import boxed, let, unboxed
+from stratagate.operators.sizing import broadcast_if_small
 from stratagate.session import settle, written
 
 #: Order of the kinds in a list of spans; ``id`` is what the bootstrap finds.
@@ -339,29 +340,38 @@ def _beside(test: Callable[[Column], Column]) -> Column:
     return F.filter("_found", lambda x: test(x["context"]) & ~_overlaps(F.col("_base"), x))
 
 
-def with_accepted(marked: DataFrame, trusted: DataFrame, key: Column, constants: int = CONSTANTS) -> DataFrame:
+def with_accepted(
+    marked: DataFrame,
+    trusted: DataFrame,
+    key: Column,
+    constants: int = CONSTANTS,
+    keyed: DataFrame | None = None,
+) -> DataFrame:
     """Add ``_ids``: identifiers a trusted pattern stands before, outside of base spans.
 
     A few patterns are constants of the plan. More are joined: contexts meet
     patterns, and rows that hold a trusted one get their list by ``key``, which
-    rows with equal spans may share.
+    rows with equal spans may share. Whole rows move only if these lists are too
+    large to be broadcast. ``keyed`` has _key and _found of the rows, if at hand.
     """
     few = [r["context"] for r in trusted.take(constants + 1)]
     if not few:
         return marked.withColumn("_ids", _beside(lambda _: F.lit(False)))
     if len(few) <= constants:
         return marked.withColumn("_ids", _beside(lambda context: context.isin(few)))
-    contexts = marked.select(key.alias("_key"), F.explode("_found.context").alias("context"))
-    held = (
-        contexts.distinct()
-        .join(trusted, "context", "left_semi")
+    marked = marked.withColumn("_key", key)
+    contexts = (marked if keyed is None else keyed).select("_key", F.explode("_found.context").alias("context"))
+    # no context holds a line break
+    held = settle(
+        contexts.join(broadcast_if_small(trusted), "context", "left_semi")
         .groupBy("_key")
-        .agg(F.collect_list("context").alias("_trusted"))
+        .agg(F.array_join(F.collect_set("context"), "\n").alias("_trusted"))
+        .withColumn("_trusted", F.concat(F.lit("\n"), "_trusted", F.lit("\n")))
     )
+    listed = lambda c: F.contains(F.col("_trusted"), F.concat(F.lit("\n"), c, F.lit("\n")))
     return (
-        marked.withColumn("_key", key)
-        .join(held, "_key", "left")
-        .withColumn("_ids", _beside(lambda c: F.coalesce(F.array_contains("_trusted", c), F.lit(False))))
+        marked.join(broadcast_if_small(held), "_key", "left")
+        .withColumn("_ids", _beside(lambda c: F.coalesce(listed(c), F.lit(False))))
         .drop("_key", "_trusted")
     )
 
@@ -399,8 +409,8 @@ def masked(docs: DataFrame, constants: int = CONSTANTS) -> DataFrame:
 
     Of overlapping spans the first names the mask, which covers them all.
     """
-    own = docs.select("text")
-    found = written(find(own).select("_base", "_found"), "spans")
+    own, key = docs.select("text"), F.sha2(F.col("text"), 256)
+    found = written(find(own).select(key.alias("_key"), "_base", "_found"), "spans")
     trusted = bootstrap(own, found)
 
     def merged(spans: Column) -> Column:
@@ -440,7 +450,7 @@ def masked(docs: DataFrame, constants: int = CONSTANTS) -> DataFrame:
         lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind")),
     )
     marked = with_accepted(
-        find(boxed(docs, F.col("text"))), trusted, F.sha2(F.col("text"), 256), constants
+        find(boxed(docs, F.col("text"))), trusted, key, constants, found
     ).withColumn("_spans", F.sort_array(spans))
     clean = F.when(F.size("_spans") == 0, F.col("text")).otherwise(
         let(merged(F.col("_spans")), replaced)
