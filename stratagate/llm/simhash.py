@@ -376,7 +376,7 @@ COUNTERS, COUNTER_BLOCK = 1 << 20, 1 << 14
 MOST_BUCKETS = 4096
 #: Texts of other groups that a text meets in one round, and the share of such pairs
 #: that must be similar for another round.
-NEXT, LEAST_GAIN = 4, 0.1
+NEXT, LEAST_GAIN = 16, 0.04
 
 
 def gram_set(text: bytes | None) -> np.ndarray:
@@ -569,10 +569,10 @@ def pairs_between(rows: DataFrame) -> DataFrame:
 def sketch(own: np.ndarray) -> bytes:
     """How many of a set's hashes fall into each of some buckets, one byte each.
 
-    Two to four hashes share a bucket until there are ``MOST_BUCKETS``; a count of 255
+    There are one to two buckets a hash until there are ``MOST_BUCKETS``; a count of 255
     stands for any higher one.
     """
-    width = min(max(64, 1 << (len(own) // 4).bit_length()), MOST_BUCKETS)
+    width = min(max(64, 1 << len(own).bit_length()), MOST_BUCKETS)
     counts = np.bincount((own % np.uint64(width)).astype(np.int64), minlength=width)
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
