@@ -19,7 +19,7 @@ from stratagate.plans.inspect import inspect_delivery
 from stratagate.plans.publish import append_quarantine
 from stratagate.plans.runs import compact_closed
 from stratagate.plans.silver import publish_silver, write_and_measure
-from stratagate.session import new_folder
+from stratagate.session import new_folder, written
 from stratagate.sinks.store import Store
 from stratagate.workload.contracts import DELIVERED, ITEMS
 from stratagate.workload.delivery import CTE as DELIVERY_CTE
@@ -216,11 +216,12 @@ def chk_snapshot(spark, sf_dir):
 
 
 def stored_twice(spark, sf_dir) -> tuple[Store, DataFrame, int]:
-    """The same publication's withdrawn rows appended twice."""
+    """The same publication's withdrawn rows, evaluated once, appended twice."""
     store = new_store(spark)
     layout = quarantine_layout(
         withdrawn_rows(orders_evaluation(spark, sf_dir)), PUBLICATION
     )
+    layout = written(layout, "layout")
     append_quarantine(store, layout, PUBLICATION)
     present = append_quarantine(store, layout, PUBLICATION)
     return store, layout, present

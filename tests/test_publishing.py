@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stratagate import vocabulary as v
 from stratagate.contract import Field, Reference
+from stratagate.operators import quarantine
 from stratagate.operators.checks import PublicationBlocked
 from stratagate.plans.acquire import acquire, fingerprint_of, selected_parts
 from stratagate.plans.bronze import publish_bronze
@@ -14,6 +15,7 @@ from stratagate.plans.inspect import diagnose_references, inspect_delivery, sync
 from stratagate.plans.runs import compact_closed
 from stratagate.plans.silver import publish_silver
 from stratagate.sinks.store import Store
+from stratagate.workload import publishing
 
 from items import DIRTY, GOOD, ITEMS, write
 
@@ -317,3 +319,13 @@ def test_total_is_found_by_its_contract(lake, tmp_path):
     elsewhere = replace(told, declared_total=(replace(totals, base="other"), "itens"))
     with pytest.raises(PublicationBlocked, match="is not of"):
         publish("2026-08", {"tot.csv": f"ITENS;OUTROS\n{rows};7\n"}, elsewhere)
+
+
+def test_quarantine_ids_never_meet_at_the_driver(spark):
+    store, layout, present = publishing.stored_twice(spark, "/root/testdata/sf0.001")
+    assert layout.inputFiles() and present == layout.count()  # evaluated once, then read
+    stored = spark.table(store.quarantine)
+    for join in (quarantine.new_rows, quarantine.present_rows):
+        for ids in (layout, stored):
+            plan = join(stored, ids)._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Broadcast" not in plan
