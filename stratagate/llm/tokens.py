@@ -28,11 +28,14 @@ from tokenizers.pre_tokenizers import ByteLevel
 #: Pieces remembered by one Python worker, about 40 MB; later ones are encoded anew.
 #: A piece is remembered when met again: most are met once. Slots that tell so, 4 MB.
 REMEMBERED, MET = 200_000, 1 << 22
+#: Plain words remembered beside them where case does not count, about 50 MB.
+REMEMBERED_WORDS = 400_000
 
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
-_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
-#: An apostrophe may start a token together with letters, so it is no mark here.
-_MARKED = re.compile(r"(\n?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: ASCII marks that end a plain word. An apostrophe may start a token together with
+#: letters, so it is none of them.
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 _SPACES = [chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace()]
 #: In a text without these, every blank and line feed stands between two words.
 _ODD = [c for c in _SPACES if c not in " \n"] + ["  ", " \n", "\n ", "\n\n"]
@@ -64,6 +67,19 @@ class _Marks(dict):
         return ids
 
 
+class _Words(dict):
+    """Ids of plain words in lower case, shared by the pieces that hold them."""
+
+    def __init__(self, ids):
+        self.ids = ids
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.ids(word)
+        if len(self) < REMEMBERED_WORDS and len(word) < 100:
+            self[word] = ids
+        return ids
+
+
 class _Pieces(dict):
     """Ids of pieces; one that starts with a line feed keeps it, others lost a blank."""
 
@@ -74,27 +90,43 @@ class _Pieces(dict):
         self.shown_blank = self.letters[32] if keeps_space else ""
         self.feed = self.whole("\n")
         self.marks = _Marks(self.whole)
+        # where case counts, a word is a piece like any other
+        self.words = _Words(self.plain_ids) if self.lower else self
         self.met = bytearray(MET)
 
+    def _plain(self, word: str, fed: bool) -> str:
+        """The piece that stands for a plain word; only a blank goes into its ids."""
+        if self.lower:
+            return word.lower()
+        return "\n" + word if fed else word
+
+    def plain_ids(self, plain: str) -> bytes:
+        fed = plain[0] == "\n"
+        word = plain[1:] if fed else plain
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        found = self.tokenize(word if fed else self.shown_blank + word)
+        packed = array("I", [x.id for x in found]).tobytes()
+        return self.feed + packed if fed else packed
+
     def whole(self, text: str) -> bytes:
         ids = self.library.encode(text, add_special_tokens=False).ids
         return array("I", ids).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
         fed = piece[0] == "\n"
-        if _WORD.fullmatch(piece, fed):
-            word = piece.lower() if self.lower else piece
-            if not word.isascii():
-                word = word.encode().decode("latin-1").translate(self.letters)
-            found = self.tokenize(word[1:] if fed else self.shown_blank + word)
-            packed = array("I", [x.id for x in found]).tobytes()
-            packed = self.feed + packed if fed else packed
-        elif parts := _MARKED.fullmatch(piece):
-            packed = self[parts[1]] + self.marks[parts[2]]
-        elif fed:
-            packed = self.feed + self.whole(piece[1:])
+        told = piece[1:] if fed else piece
+        word = told.rstrip(_MARKS)
+        if not (word.isascii() and word.isalpha()) and not _LATIN.fullmatch(word):
+            packed = self.feed + self.whole(told) if fed else self.whole(self.blank + told)
+        elif (plain := self._plain(word, fed)) == piece and not self.lower:
+            packed = self.plain_ids(plain)
         else:
-            packed = self.whole(self.blank + piece)
+            packed = self.words[plain]
+            if fed and self.lower:
+                packed = self.feed + packed
+            if len(word) < len(told):
+                packed += self.marks[told[len(word) :]]
         if len(self) < REMEMBERED and len(piece) < 100:
             slot = hash(piece) % len(self.met)
             if self.met[slot]:

@@ -74,6 +74,20 @@ def test_pieces_give_the_ids_of_the_library(name):
             assert np.frombuffer(known.encode(text), "<u4").tolist() == expected, repr(text[:50])
 
 
+def test_pieces_share_the_ids_of_a_word(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, known, seen = Tokenizer.from_file(path), PieceEncoder(path), []
+    tokenize = known.pieces.tokenize
+    monkeypatch.setattr(known.pieces, "tokenize", lambda word: seen.append(word) or tokenize(word))
+    text = "a zorbel Zorbel zorbel, ZORBEL.\nzorbel\nZorbel! été ÉTÉ; Été"
+    expected = library.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(known.encode(text), "<u4").tolist() == expected
+    assert len(seen) == 2
+    monkeypatch.setattr("stratagate.llm.tokens.REMEMBERED_WORDS", 1)
+    assert np.frombuffer(known.encode(f"a plumvet {text}"), "<u4").tolist()[-len(expected) + 1 :] == expected[1:]
+    assert len(known.pieces.words) == 2
+
+
 def test_token_files_read_back(docs, empty):
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
