@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from stratagate.llm.components import components
 from stratagate.llm.tables import boxed, slices, task_count, text_bytes, unboxed
 from stratagate.operators.sizing import broadcast_if_small
-from stratagate.session import settle, written
+from stratagate.session import fewer_tasks, settle, settle_counted, written
 
 SEED = 42
 #: Words of a shingle of a fingerprint.
@@ -612,18 +612,18 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
     )
 
 
-def _both_ends(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
-    """Settled (u, v) with columns of both texts, named u_ and v_; only sets that pairs name move."""
+def _both_ends(pairs: DataFrame, rows: int, sets: DataFrame, *columns: str) -> DataFrame:
+    """So many settled (u, v) with columns of both texts, named u_ and v_; only sets that pairs name move."""
     firsts = sets.select(F.col("_row").alias("u"), *[F.col(c).alias(f"u_{c}") for c in columns])
     seconds = sets.select(F.col("_row").alias("v"), *[F.col(c).alias(f"v_{c}") for c in columns])
-    named = broadcast_if_small(settle(pairs.select("v").distinct()))
+    named = broadcast_if_small(settle(fewer_tasks(pairs.select("v").distinct(), rows)))
     return firsts.join(broadcast_if_small(pairs), "u").join(
         seconds.join(named, "v", "left_semi"), "v"
     )
 
 
-def allowed_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of some settled (u, v) that their sketches do not rule out."""
+def allowed_pairs(pairs: DataFrame, number: int, sets: DataFrame) -> DataFrame:
+    """Those of so many settled (u, v) that their sketches do not rule out."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches, 4096):
@@ -631,25 +631,24 @@ def allowed_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             kept = pa.array([sketches_allow(*x) for x in told], pa.bool_())
             yield rows.select(["u", "v"]).filter(kept)
 
-    met = _both_ends(pairs, sets, "size", "sketch")
+    met = _both_ends(pairs, number, sets, "size", "sketch")
     return met.select("u", "v", "u_size", "u_sketch", "v_size", "v_sketch").mapInArrow(of, "u long, v long")
 
 
-def similar_pairs(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of some (u, v), named by their rows, whose texts are similar.
+def similar_pairs(docs: DataFrame, pairs: DataFrame, number: int) -> tuple[DataFrame, int]:
+    """Those of so many settled (u, v), named by their rows, whose texts are similar; their number.
 
     Sketches, a small part of a set in bytes, rule most other pairs out; the whole
     sets of those left decide.
     """
-    pairs = settle(pairs)
     ends = pairs.select(F.col("u").alias("_row")).union(pairs.select("v")).distinct()
-    ends = broadcast_if_small(settle(ends))
+    ends = broadcast_if_small(settle(fewer_tasks(ends, 2 * number)))
     texts = docs.select(row_key(), "text").join(ends, "_row", "left_semi").dropDuplicates(["_row"])
     sets = written(shingle_sets(texts), "shingle-sets")
-    likely = settle(allowed_pairs(pairs, sets))
+    likely, left = settle_counted(allowed_pairs(pairs, number, sets))
     shared = F.size(F.array_intersect("u_set", "v_set"))
-    return settle(
-        _both_ends(likely, sets, "set")
+    return settle_counted(
+        _both_ends(likely, left, sets, "set")
         .where((OVER + UNDER) * shared >= OVER * (F.size("u_set") + F.size("v_set")))
         .select("u", "v")
     )
@@ -667,7 +666,8 @@ def similar_links(docs: DataFrame, texts: DataFrame, prints: DataFrame) -> DataF
     rows = written(shared_tokens(prefixes(texts, commonness(docs))), "shared-shingles")
     near = rows.where(F.col("before").isNotNull())
     near = near.select(F.least("node", "before").alias("u"), F.greatest("node", "before").alias("v"))
-    links = similar_pairs(docs, fingerprint_links(prints).unionByName(near).distinct())
+    first = settle_counted(fingerprint_links(prints).unionByName(near).distinct())
+    links, _ = similar_pairs(docs, *first)
 
     def grouped() -> DataFrame:
         roots = broadcast_if_small(settle(components(links)))
@@ -675,11 +675,12 @@ def similar_links(docs: DataFrame, texts: DataFrame, prints: DataFrame) -> DataF
 
     gained = True
     while gained:
-        met = settle(neighbours(grouped()))
-        more = similar_pairs(docs, met)
-        gained = more.count() > LEAST_GAIN * met.count()
-        links = settle(links.unionByName(more))
-    return links.unionByName(similar_pairs(docs, pairs_between(grouped())))
+        met, compared = settle_counted(neighbours(grouped()))
+        more, found = similar_pairs(docs, met, compared)
+        gained = found > LEAST_GAIN * compared
+        links = links.unionByName(more)
+    last, _ = similar_pairs(docs, *settle_counted(pairs_between(grouped())))
+    return links.unionByName(last)
 
 
 def row_key() -> Column:
@@ -708,9 +709,12 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     # texts of equal sets share a name, and the least of their rows stands for them
     marked = written(keyed.mapInArrow(of, "doc_id long, _row long, same binary, fp binary"), "fingerprints")
     named = marked.groupBy("same").agg(F.min(F.struct("_row", "fp")).alias("_least"), F.count(F.lit(1)).alias("n"))
-    named = settle(named.select("same", F.col("_least._row").alias("node"), F.col("_least.fp").alias("fp"), "n"))
+    named, _ = settle_counted(
+        named.select("same", F.col("_least._row").alias("node"), F.col("_least.fp").alias("fp"), "n")
+    )
     several = named.where("n > 1")
-    copies = broadcast_if_small(settle(marked.join(several, "same", "left_semi").select("_row").distinct()))
+    copies, _ = settle_counted(marked.join(several, "same", "left_semi").select("_row").distinct())
+    copies = broadcast_if_small(copies)
     stand = broadcast_if_small(settle(several.select(F.col("node").alias("_row"))))
     texts = keyed.select("_row", "text")
     texts = texts.join(copies, "_row", "left_anti").unionByName(

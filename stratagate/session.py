@@ -8,6 +8,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of ids that are worth a task of their own.
+TASK_ROWS = 20_000
+
 
 @contextmanager
 def settings(spark: SparkSession, **values: str):
@@ -54,6 +57,23 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def fewer_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` of at most so many rows, in no more partitions than these fill.
+
+    Tasks then follow the rows, also where the session asks for many partitions.
+    """
+    tasks = max(1, -(-rows // TASK_ROWS))
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.coalesce(tasks) if tasks < most else df
+
+
+def settle_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """Settled rows, in no more partitions than they fill, and their number."""
+    settled = settle(df)
+    rows = settled.count()
+    return fewer_tasks(settled, rows), rows
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Compute once into a columnar table of the shared folder and read that."""
     folder = new_folder(df.sparkSession, name)

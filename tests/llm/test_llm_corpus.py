@@ -18,7 +18,7 @@ from stratagate.llm.components import components
 from stratagate.llm.decontaminate import contamination, decontaminated
 from stratagate.llm.repeats import remove_repeats
 from stratagate.llm.simhash import deduplicated, forest, near_duplicates
-from stratagate.session import new_folder
+from stratagate.session import new_folder, settings
 
 SF_DIR = "/root/testdata/sf0.001"
 #: Extra columns named like those the operators use inside.
@@ -149,6 +149,27 @@ def test_components_of_awkward_edges(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_few_edges_take_few_tasks(spark, monkeypatch):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40) if i % 10], "u long, v long")
+    expected = {i: 10 * ((i - 1) // 10) + 1 for i in range(1, 41)}
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    with settings(
+        spark,
+        spark__sql__shuffle__partitions="64",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+    ):
+        for limit in (1_000_000, 0):  # the second as if the edges were many
+            monkeypatch.setattr("stratagate.llm.components.BROADCAST_ROWS", limit, raising=False)
+            context.setJobGroup(f"components-{limit}", "")
+            got = {r["node"]: r["root"] for r in components(edges).collect()}
+            assert got == expected
+    context.setLocalProperty("spark.jobGroup.id", None)
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("components-1000000")]
+    tasks = [tracker.getStageInfo(s).numTasks for job in jobs for s in job.stageIds if tracker.getStageInfo(s)]
+    # the edges are dealt and counted over all partitions, then each round takes a few tasks
+    assert sum(n >= 64 for n in tasks) <= 4
+
+
 def test_deduplicated_keeps_one_of_each_group(docs, texts):
     kept = deduplicated(docs)
     assert kept.columns == docs.columns
