@@ -1,8 +1,8 @@
 """Group sizes and copy numbers that stay balanced when one group is huge.
 
 A plain window over the key would send a hot key, with all its columns, to one
-task. Here only aggregated keys move: counts are combined map-side, and the
-rows meet them through a join that leaves hot groups where they are.
+task. Here repeated keys meet the rows by a broadcast where they are few; where
+they are many, rows move once by key, and those of hot keys under a salt.
 """
 
 from __future__ import annotations
@@ -19,6 +19,11 @@ from stratagate.session import settle
 CHUNK = 10_000
 #: Shares of one hot key in an exchange.
 SALTS = 4096
+#: Shares of all keys, by hash; in one of ``PROBED`` each key is counted.
+BUCKETS = 65_536
+PROBED = 64
+#: A key with more rows than so many average buckets is hot.
+HOT_BUCKETS = 4
 
 
 def repeated_keys(rows: DataFrame, key: list[str], size: str) -> DataFrame:
@@ -38,40 +43,89 @@ def _meet(rows: DataFrame, keys: DataFrame, key: list[str], how: str):
 
 
 def with_group_size(rows: DataFrame, key: list[str], size: str) -> DataFrame:
-    """Add the number of rows sharing the key, without collecting any group."""
-    repeated = settle(repeated_keys(rows, key, size))
-    if sizing.fits_broadcast(repeated):
-        joined = _meet(rows, F.broadcast(repeated), key, "left")
-    else:
-        joined = _split_join(rows, repeated, key, size)
-    return joined.withColumn(size, F.coalesce(size, F.lit(1).cast("bigint")))
+    """Add the number of rows sharing the key, without collecting any group.
+
+    Repeated keys are all counted only where they are likely to be few enough to be
+    broadcast; otherwise the one exchange that the rows need anyway counts them.
+    """
+    total, counted = rows.count(), None
+    # a repeated key has two rows at least
+    if total > 2 * sizing.BROADCAST_ROWS:
+        counted = settle(_bucket_counts(rows, key))
+    if counted is None or _repeated_about(counted) <= sizing.BROADCAST_ROWS:
+        repeated = settle(repeated_keys(rows, key, size))
+        if sizing.fits_broadcast(repeated):
+            joined = _meet(rows, F.broadcast(repeated), key, "left")
+            return joined.withColumn(size, F.coalesce(size, F.lit(1).cast("bigint")))
+        return _one_exchange(rows, key, size, total, repeated)
+    return _one_exchange(rows, key, size, total, _large_keys(rows, key, size, total, counted))
+
+
+def _bucket(key: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(BUCKETS)).cast("int")
+
+
+def _bucket_counts(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Rows per bucket of keys; in one bucket of ``PROBED``, rows per key."""
+    probed = [F.when(F.col("_bucket") % PROBED == 0, F.col(k)).alias(k) for k in key]
+    return (
+        rows.select(_bucket(key).alias("_bucket"), *key)
+        .groupBy("_bucket", *probed)
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+
+
+def _repeated_about(counted: DataFrame) -> int:
+    """Repeated keys of all buckets, from the probed ones; it only chooses a way."""
+    return PROBED * counted.where(F.col("_bucket") % PROBED == 0).where("_n > 1").count()
+
+
+def _hot_rows(total: int) -> int:
+    """Rows that make a key hot: what a few buckets hold on average."""
+    return -(-HOT_BUCKETS * total // BUCKETS)
+
+
+def _large_keys(
+    rows: DataFrame, key: list[str], size: str, total: int, counted: DataFrame
+) -> DataFrame | None:
+    """Repeated keys of the buckets that are large enough to hold a hot one."""
+    heavy = (
+        counted.groupBy("_bucket")
+        .agg(F.sum("_n").alias("_n"))
+        .where(F.col("_n") > _hot_rows(total))
+        .select("_bucket")
+    )
+    if heavy.isEmpty():
+        return None
+    # at most one bucket of HOT_BUCKETS is heavy
+    inside = rows.withColumn("_bucket", _bucket(key)).join(F.broadcast(heavy), "_bucket", "left_semi")
+    return settle(repeated_keys(inside, key, size))
 
 
-def _split_join(
-    rows: DataFrame, repeated: DataFrame, key: list[str], size: str
+def _one_exchange(
+    rows: DataFrame, key: list[str], size: str, total: int, large: DataFrame | None
 ) -> DataFrame:
-    """Sizes of hot keys by broadcast, of all others by one shuffle of the rows.
+    """Sizes of hot keys by broadcast, of all others where the key's rows meet.
 
-    At most total / threshold keys can reach the threshold, which bounds the
-    broadcast side; its bytes are measured too. Rows that have met a hot key go
-    through the same exchange under a salt, where nothing is looked for, so they
-    are spread; other keys have fewer rows than the threshold each. The rows are
-    read once.
+    ``large`` holds every hot key. At most total / threshold keys are hot, which
+    bounds the broadcast side; its bytes are measured too. Rows that have met a hot
+    key go through the same exchange under a salt, so they are spread; other keys
+    have no more rows than the threshold each. The rows are read once.
     """
-    total = repeated.agg(F.sum(size)).first()[0]
-    threshold = -(-total // sizing.BROADCAST_ROWS)
-    hot = repeated.where(F.col(size) > threshold)
+    if large is None:
+        return rows.withColumn(size, F.count(F.lit(1)).over(Window.partitionBy(*key)))
+    threshold = _hot_rows(total)
+    hot = large.where(F.col(size) > threshold)
     while not sizing.fits_broadcast(hot):
         threshold *= 2
-        hot = repeated.where(F.col(size) > threshold)
-    cold = repeated.where(F.col(size) <= threshold).withColumn("_salt", F.lit(0).cast("long"))
+        hot = large.where(F.col(size) > threshold)
     met = _meet(rows, F.broadcast(hot.withColumnRenamed(size, "_hot")), key, "left")
     spread = F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(
         1 + F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))
     )
-    salted = met.withColumn("_salt", spread.cast("long"))
-    every = _meet(salted, cold, [*key, "_salt"], "left")
-    return every.withColumn(size, F.coalesce("_hot", size)).drop("_hot", "_salt")
+    together = Window.partitionBy(*key, "_salt")
+    counted = met.withColumn("_salt", spread.cast("long")).withColumn(size, F.count(F.lit(1)).over(together))
+    return counted.withColumn(size, F.coalesce("_hot", size)).drop("_hot", "_salt")
 
 
 def number_copies(

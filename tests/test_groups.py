@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratagate.operators import groups, sizing
+from stratagate.session import settings
 
 
 @pytest.fixture(params=["broadcast", "hot and cold", "all cold"])
@@ -63,3 +64,20 @@ def test_large_branch_reads_the_rows_once(spark, monkeypatch, tmp_path):
     got = sized.select("k", "n", "size").collect()
     assert len(got) == len(data) + 1
     assert all(r["size"] == expected[r.k] for r in got)
+
+
+def test_many_repeated_keys_need_one_exchange(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 50)
+    data = [(f"k{i % 3000}", i) for i in range(6000)] + [(None, i) for i in range(300)]
+    data += [("hot", i) for i in range(900)] + [(f"single{i}", i) for i in range(500)]
+    spark.createDataFrame(data, "k string, n int").repartition(4).write.parquet(str(tmp_path / "rows"))
+    with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
+        sized = groups.with_group_size(spark.read.parquet(str(tmp_path / "rows")), ["k"], "size")
+        plan = sized._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+        got = sized.select("k", "n", "size", F.spark_partition_id().alias("task")).collect()
+    expected = Counter(k for k, _ in data)
+    assert Counter((r.k, r.n) for r in got) == Counter(data)
+    assert all(r["size"] == expected[r.k] for r in got)
+    # rows of a hot key, and those without any, are spread
+    assert all(len({r.task for r in got if r.k == k}) > 1 for k in ("hot", None))
